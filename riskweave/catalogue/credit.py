@@ -15,7 +15,7 @@ from riskweave.operators import reasons as rs
 from riskweave.operators import scorecard as sc
 from riskweave.operators import woe
 from riskweave.operators.split import stable_split
-from riskweave.session import work_folder
+from riskweave.session import materialize, work_folder
 from riskweave.sources.tables import read_table, write_report
 
 MODEL_COLUMNS = ["DTI", "AMT_ANNUITY", "CREDIT_INCOME_RATIO", "AMT_CREDIT", "AMT_INCOME_TOTAL", "AGE_YEARS",
@@ -165,7 +165,7 @@ def h8_monotonic_bins(spark, sf):
 
 def h9_woe_transform(spark, sf):
     lines = returned_lines(spark, sf)
-    bins = woe.woe_tables(lines, "returned", _edges(spark, sf), ["l_linestatus"])
+    bins = materialize(woe.woe_tables(lines, "returned", _edges(spark, sf), ["l_linestatus"]), "bins")
     coded = woe.woe_transform(lines, bins, LINE_NUMBERS, ["l_linestatus"])
     added = [f"{c}_woe" for c in (*LINE_NUMBERS, "l_linestatus")]
     return rounded(coded.select("l_orderkey", "l_linenumber", "l_suppkey", *added), *added)
@@ -173,7 +173,7 @@ def h9_woe_transform(spark, sf):
 
 def c2_bin_lookup(spark, sf):
     docs = scored_documents(spark, sf)
-    bins = woe.woe_categorical(docs.where("toxic = 0"), "source", "quality")
+    bins = materialize(woe.woe_categorical(docs.where("toxic = 0"), "source", "quality"), "bins")
     coded = woe.woe_transform(docs, bins, [], ["source"])
     return rounded(coded.select("doc_id", "source_woe"), "source_woe")
 

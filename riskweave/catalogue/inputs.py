@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from riskweave.functions.risk import key_uniform, sigmoid
 from riskweave.functions.text import tokens
 from riskweave.operators.features import applicant_features
+from riskweave.session import materialize
+from riskweave.sources.tables import spread
 
 DIGITS = 6
 
@@ -72,14 +74,18 @@ def feature_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def credit_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The feature table with a default flag that follows its features, for the models."""
+    """The feature table with a default flag that follows its features, for the models.
+
+    Stored, because fitting reads it many times.
+    """
     strain = (
         3.0 * F.col("PREV_REFUSED_RATE") + 0.1 * F.col("PREV_CNT") + 0.04 * F.col("BUREAU_MAX_DAYS_OVERDUE")
-        + 0.15 * F.col("BUREAU_ACTIVE_CNT") - 7.0
+        + 0.15 * F.col("BUREAU_ACTIVE_CNT") - 9.5
     )
-    return feature_table(spark, sf).withColumn(
+    flagged = feature_table(spark, sf).withColumn(
         "TARGET", (key_uniform("default", "SK_ID_CURR") < sigmoid(strain)).cast("int")
     )
+    return materialize(flagged, "credit-table")
 
 
 # --------------------------------------------------------------------------- transactions
@@ -151,10 +157,10 @@ def gold_sources(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.size("_t") > SHINGLE + 1, F.array_join(F.slice("_t", 2, SHINGLE), " "))
         .otherwise(F.raise_error(F.lit("passage too short for a whole-token run"))).alias("anchor"),
     )
-    words = corpus(spark, sf).withColumn("_t", tokens("text"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("_t") - SHINGLE + 1, F.lit(1)))
-    runs = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice("_t", i, SHINGLE), " ")))
+    words = spread(corpus(spark, sf), "doc_id").withColumn("_t", tokens("text"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_t") - SHINGLE, F.lit(0)))
+    runs = F.transform(starts, lambda i: F.concat_ws(" ", *[F.get("_t", i + j) for j in range(SHINGLE)]))
     # the anchor joins doc ids only; texts come back for the matching documents
-    found = words.select("doc_id", F.explode(runs).alias("anchor")).join(anchors, "anchor")
+    found = words.select("doc_id", F.explode(runs).alias("anchor")).join(anchors, "anchor").drop("anchor").distinct()
     pairs = found.join(corpus(spark, sf), "doc_id").where(F.contains("text", "question"))
-    return pairs.select("query_id", "source").distinct()
+    return pairs.select("query_id", "source")

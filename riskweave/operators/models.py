@@ -6,7 +6,8 @@ import logging
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -38,10 +39,9 @@ def fit_gbt(
         F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)).alias("_weight"),
     ).persist()
     booster = GBTClassifier(
-        featuresCol="_features", labelCol="_label", weightCol="_weight", predictionCol="_prediction",
-        rawPredictionCol="_raw", probabilityCol="_probability", maxIter=trees, maxDepth=depth, stepSize=0.05,
+        featuresCol="_features", labelCol="_label", weightCol="_weight", predictionCol="_prediction", maxIter=trees, maxDepth=depth, stepSize=0.05,
         subsamplingRate=0.8, featureSubsetStrategy="0.8" if len(features) > 1 else "all", seed=seed,
-    )
+    ).setRawPredictionCol("_raw").setProbabilityCol("_probability")
     try:
         return Pipeline(stages=[_assembler(features), booster]).fit(rows)
     finally:
@@ -97,13 +97,15 @@ def fit_all(trainers: dict[str, Callable[[], PipelineModel]]) -> dict[str, Pipel
     for name, trainer in trainers.items():
         try:
             fitted[name] = trainer()
-        except Exception as problem:  # noqa: BLE001 - a failing challenger must not end the comparison
+        except (ImportError, PySparkException, Py4JJavaError) as problem:
             log.warning("model %s skipped: %s", name, problem)
     return fitted
 
 
 def benchmark(models: dict[str, PipelineModel], test: DataFrame, label: str, threshold: float = 0.5) -> DataFrame:
     """One metric row per model on the same test rows, best AUPRC first."""
+    if not models:
+        raise ValueError("no fitted model to compare")
     scored = reduce(DataFrame.unionByName, [
         positive_proba(model, test).select(
             F.lit(name).alias("model"), F.col(label).cast("int").alias("label"), "probability"

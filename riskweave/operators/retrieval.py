@@ -33,13 +33,45 @@ SCORE_DECIMALS = 9  # equal up to summation order counts as a tie
 
 
 # --------------------------------------------------------------------------- embedding
+def _list_rows(column: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """Row number of each list element, and the elements."""
+    offsets = column.offsets.to_numpy()
+    return np.repeat(np.arange(len(column)), np.diff(offsets)), column.values.slice(offsets[0], offsets[-1] - offsets[0])
+
+
+def _bucket_counts(column: pa.ListArray) -> np.ndarray:
+    """Counts per row and hash bucket."""
+    row, bucket = _list_rows(column)
+    flat = row * EMBED_DIM + bucket.to_numpy()
+    return np.bincount(flat, minlength=len(column) * EMBED_DIM).reshape(-1, EMBED_DIM).astype(float)
+
+
 def hash_embed(df: DataFrame, id: str, text: str) -> DataFrame:
-    """Sparse hashed bag of words: ``id, bucket, n, weight``; weights have L2 norm 1 per id."""
-    words = df.select(id, F.explode(tokens(text)).alias("token"))
-    counts = words.groupBy(id, hash_bucket(F.col("token")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy(id)  # at most 256 rows per id
-    norm = F.sqrt(F.sum(F.col("n") * F.col("n")).over(whole).cast("double"))
-    return counts.select(id, "bucket", "n", (F.col("n") / norm).alias("weight"))
+    """Sparse hashed bag of words: ``id, bucket, n, weight``; weights have L2 norm 1 per id.
+
+    A text is counted where it is read: grouping its tokens by id would shuffle
+    several times the corpus.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, CELL_LIMIT // EMBED_DIM):
+                part = batch.slice(begin, CELL_LIMIT // EMBED_DIM)
+                counts = _bucket_counts(part.column(1))
+                row, bucket = counts.nonzero()
+                n = counts[row, bucket]
+                norms = np.sqrt((counts**2).sum(axis=1))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(row)), pa.array(bucket, pa.int32()), pa.array(n.astype("int64")),
+                     pa.array(n / norms[row])],
+                    names=[id, "bucket", "n", "weight"],
+                )
+
+    buckets = df.select(id, F.transform(tokens(text), hash_bucket).alias("_buckets"))
+    return buckets.mapInArrow(count, f"{_fields(df, [id])}, bucket int, n long, weight double")
+
+
+def _fields(df: DataFrame, cols: list[str]) -> str:
+    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
 
 
 # --------------------------------------------------------------------------- top-k engine
@@ -58,6 +90,7 @@ def _keep_best(
     """The k best rows per query of one partition; ``score(batch) -> (queries, rows)`` array."""
     best: pd.DataFrame | None = None
     fields: list[pa.Field] = []
+    limits = np.full(len(query_ids), -np.inf)  # a row below its query's limit cannot enter any more
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -67,9 +100,12 @@ def _keep_best(
         for begin in range(0, batch.num_rows, step):
             part = batch.slice(begin, step)
             scores = np.round(score(part), SCORE_DECIMALS)
-            picks = [_best(row, k) for row in scores]
+            live = np.flatnonzero(scores.max(axis=1) >= limits)
+            if not len(live):
+                continue
+            picks = [_best(scores[q], k) for q in live]
             rows = np.concatenate(picks)
-            which = np.repeat(np.arange(len(picks)), [len(p) for p in picks])
+            which = np.repeat(live, [len(p) for p in picks])
             kept = part.select(out).take(pa.array(rows)).to_pandas()
             kept["_query"], kept["score"] = which, scores[which, rows]
             best = kept if best is None else pd.concat([best, kept])
@@ -77,6 +113,9 @@ def _keep_best(
                 best.sort_values(["_query", "score", *order], ascending=[True, False] + [True] * len(order))
                 .groupby("_query", sort=False).head(k)
             )
+            held = best.groupby("_query")["score"].agg(["size", "min"])
+            full = held[held["size"] == k]
+            limits[full.index] = full["min"]
     if best is not None:
         ids = query_ids.take(pa.array(best["_query"].to_numpy()))
         yield pa.RecordBatch.from_arrays(
@@ -90,10 +129,6 @@ def _rank(found: DataFrame, order: list[str], k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(within)).where(F.col("rank") <= k)
 
 
-def _fields(df: DataFrame, cols: list[str]) -> str:
-    return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
-
-
 def _search(
     corpus: DataFrame, features: Column, weights: Callable, query_ids: list, id_type: str, order: list[str],
     payload: list[str], k: int,
@@ -130,12 +165,6 @@ def _all_blocks(queries: DataFrame, search: Callable[[DataFrame], DataFrame], li
 
 
 # --------------------------------------------------------------------------- hashed vectors
-def _list_rows(column: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
-    """Row number of each list element, and the elements."""
-    offsets = column.offsets.to_numpy()
-    return np.repeat(np.arange(len(column)), np.diff(offsets)), column.values.slice(offsets[0], offsets[-1] - offsets[0])
-
-
 def top_k_sparse(
     queries: DataFrame, corpus: DataFrame, text: str = "text", order: list[str] = ("corpus_order", "ordinal"),
     payload: list[str] = ("id", "source", "text"), k: int = TOP_K, block: int = QUERY_BLOCK,
@@ -156,9 +185,7 @@ def top_k_sparse(
         squares[squares == 0] = 1
 
         def score(batch: pa.RecordBatch) -> np.ndarray:
-            row, bucket = _list_rows(batch.column("_features"))
-            flat = row * EMBED_DIM + bucket.to_numpy()
-            counts = np.bincount(flat, minlength=batch.num_rows * EMBED_DIM).reshape(-1, EMBED_DIM).astype(float)
+            counts = _bucket_counts(batch.column("_features"))
             norms = (counts**2).sum(axis=1)
             norms[norms == 0] = 1
             return (weights @ counts.T) / np.sqrt(squares[:, None] * norms[None, :])
@@ -217,12 +244,12 @@ def top_k_lexical(
 ) -> DataFrame:
     """Sum over query tokens of count times smoothed idf; a token repeated in the query counts again."""
     id_type = queries.schema["query_id"].dataType.simpleString()
+    n = corpus.count()
 
     def search(part: DataFrame) -> DataFrame:
         rows = part.select("query_id", tokens("query").alias("t")).collect()
         vocabulary = sorted({t for r in rows for t in r["t"] or []})
         place = {t: i for i, t in enumerate(vocabulary)}
-        n = corpus.count()
         df = {r["token"]: r["df"] for r in document_frequencies(corpus, text, vocabulary).collect()}
         idf = np.array([inverse_frequency(n, df.get(t, 0)) for t in vocabulary])
         terms = []
