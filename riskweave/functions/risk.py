@@ -84,16 +84,23 @@ def key_uniform(seed: int | str, *keys: Column | str) -> Column:
     return digits.cast("long").cast("double") / float(2**52)
 
 
-def step_index(value: Column, edges: list[float]) -> Column:
+def step_index(value: Column, edges: list[float], fine: int = 64) -> Column:
     """How many of the sorted ``edges`` lie strictly below ``value``.
 
     Unrolled to a balanced CASE tree, so it stays inside generated code and costs
-    log2(len(edges)) comparisons.
+    log2(len(edges)) comparisons. Beyond 256 edges the tree picks a run of ``fine``
+    edges, which are then compared one by one.
     """
-    def descend(low: int, high: int) -> Column:
+    def descend(cuts: list[float], low: int, high: int) -> Column:
         if low == high:
             return F.lit(low)
         middle = (low + high) // 2
-        return F.when(value <= F.lit(edges[middle]), descend(low, middle)).otherwise(descend(middle + 1, high))
-
-    return descend(0, len(edges))
+        return F.when(value <= F.lit(cuts[middle]), descend(cuts, low, middle)).otherwise(descend(cuts, middle + 1, high))
+
+    if len(edges) <= 256:
+        return descend(edges, 0, len(edges))
+    runs = [edges[i:i + fine] for i in range(0, len(edges), fine)]
+    run = descend([r[-1] for r in runs[:-1]], 0, len(runs) - 1)
+    literal = F.expr("array(" + ", ".join("array(" + ", ".join(f"{float(e)!r}D" for e in r) + ")" for r in runs) + ")")
+    below = F.size(F.filter(F.element_at(literal, run + 1), lambda e: e < value))
+    return run * fine + below

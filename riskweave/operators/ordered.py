@@ -13,12 +13,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from riskweave.functions.risk import step_index
 
 SKETCH_ACCURACY = 10_000
+FIRST_GRID = 512
 
 
 # --------------------------------------------------------------------------- pieces
@@ -43,25 +44,34 @@ class Pieces:
         return F.when(order.isNull(), F.lit(-1)).otherwise(piece)
 
 
+def _sketch(df: DataFrame, order: Column, tie: Column | None, grid: int):
+    """Row count and ``grid - 1`` cut points of the order (and tie-break) column, from one pass."""
+    probs = F.expr(f"array({', '.join(f'{i / grid!r}D' for i in range(1, grid))})")
+    accuracy = F.lit(max(SKETCH_ACCURACY, 4 * grid))
+    wanted = [F.count(F.lit(1)).alias("n"), F.percentile_approx(order.cast("double"), probs, accuracy).alias("cuts")]
+    if tie is not None:
+        wanted.append(F.percentile_approx(tie.cast("double"), probs, accuracy).alias("tie_cuts"))
+    return df.agg(*wanted).first()
+
+
 def plan_pieces(
-    df: DataFrame,
-    order: Column,
-    tie: Column | None = None,
-    rows_per_piece: int = 500_000,
-    max_pieces: int = 512,
+    df: DataFrame, order: Column, tie: Column | None = None, rows_per_piece: int = 500_000, max_pieces: int = 8192,
 ) -> Pieces:
-    """Choose cut points from one sketch over the whole column; no rows are collected."""
-    grid = [i / max_pieces for i in range(1, max_pieces)]
-    number = order.cast("double")
-    wanted = [F.count(F.lit(1)).alias("n"), F.percentile_approx(number, grid, SKETCH_ACCURACY).alias("cuts")]
-    if tie is not None:
-        wanted.append(F.percentile_approx(tie.cast("double"), grid, SKETCH_ACCURACY).alias("tie_cuts"))
-    row = df.agg(*wanted).first()
+    """Choose cut points from sketches over the whole column; no rows are collected.
+
+    A first sketch also counts the rows; only a table that needs more pieces than
+    it resolves is sketched again.
+    """
+    grid = min(FIRST_GRID, max_pieces)
+    row = _sketch(df, order, tie, grid)
     pieces = min(max_pieces, math.ceil(row["n"] / rows_per_piece))
     if pieces <= 1 or not row["cuts"]:
         return Pieces()
-    step = max_pieces / pieces
-    picked = [row["cuts"][min(int(i * step), max_pieces - 1) - 1] for i in range(1, pieces)]
+    if pieces > grid:
+        grid = pieces
+        row = _sketch(df, order, tie, grid)
+    step = grid / pieces
+    picked = [row["cuts"][min(int(i * step), grid - 1) - 1] for i in range(1, pieces)]
     heavy = {a for a, b in zip(picked, picked[1:]) if a == b}
     tie_cuts = sorted(set(row["tie_cuts"] or [])) if tie is not None else []
     if tie_cuts:
@@ -69,16 +79,20 @@ def plan_pieces(
     return Pieces(tuple(sorted(set(picked))), tuple(sorted(heavy)), tuple(tie_cuts))
 
 
-def _join_pieces(rows: DataFrame, offsets: DataFrame, by: list[str]) -> DataFrame:
-    """Bring per-piece values to the rows; group columns may be null."""
-    keys = [*by, "_piece"]
-    renamed = offsets.select(*[F.col(k).alias(f"_o_{k}") for k in keys],
-                             *[c for c in offsets.columns if c not in keys])
-    match = None
-    for k in keys:
-        same = F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-        match = same if match is None else match & same
-    return rows.join(renamed, match, "left").drop(*[f"_o_{k}" for k in keys])
+def _placed(df: DataFrame, by: list[str], piece: Column) -> DataFrame:
+    """Add ``_group`` and ``_piece``. A struct is never null itself, so groups with nulls join by
+    plain equality, on the partitioning the windows already have."""
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    return df.withColumns({"_group": group, "_piece": piece})
+
+
+def _inside(*order: Column | str) -> WindowSpec:
+    return Window.partitionBy("_group", "_piece").orderBy(*order)
+
+
+def _before() -> WindowSpec:
+    """Over the table with one row per (group, piece)."""
+    return Window.partitionBy("_group").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
 
 
 # --------------------------------------------------------------------------- ordered windows
@@ -103,19 +117,17 @@ def running_sums(
             *[F.sum(v).over(upto).alias(f"cum_{v}") for v in values],
             *[F.sum(v).over(whole).alias(f"tot_{v}") for v in values],
         )
-    rows = df.withColumn("_piece", pieces.index(F.col(order)))
-    sums = rows.groupBy(*by, "_piece").agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
-    before = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
+    rows = _placed(df, by, pieces.index(F.col(order)))
+    sums = rows.groupBy("_group", "_piece").agg(*[F.sum(v).alias(f"_s_{v}") for v in values])
+    whole = Window.partitionBy("_group")
     offsets = sums.select(
-        *by, "_piece",
-        *[F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in values],
+        "_group", "_piece",
+        *[F.coalesce(F.sum(f"_s_{v}").over(_before()), F.lit(0)).alias(f"_off_{v}") for v in values],
         *[F.sum(f"_s_{v}").over(whole).alias(f"tot_{v}") for v in values],
     )
-    inside = Window.partitionBy(*by, "_piece").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.select("*", *[F.sum(v).over(inside).alias(f"_cum_{v}") for v in values])
-    joined = _join_pieces(local, offsets, by)
-    return joined.select(
+    upto = _inside(order).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.select("*", *[F.sum(v).over(upto).alias(f"_cum_{v}") for v in values])
+    return local.join(offsets, ["_group", "_piece"]).select(
         *df.columns,
         *[(F.col(f"_cum_{v}") + F.col(f"_off_{v}")).alias(f"cum_{v}") for v in values],
         *[f"tot_{v}" for v in values],
@@ -141,15 +153,11 @@ def ranked(
     if not pieces.edges:
         return rows.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*sort))).drop("_order")
     piece = pieces.index(F.col("_order"), F.col(tie))
-    rows = rows.withColumn("_piece", F.when(piece == -1, F.lit(2**30)).otherwise(piece))
-    before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*by, "_piece").agg(F.count(F.lit(1)).alias("_n"))
-        .select(*by, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    )
-    inside = Window.partitionBy(*by, "_piece").orderBy(*sort)
-    local = rows.withColumn("_local", F.row_number().over(inside))
-    return _join_pieces(local, offsets, by).select(
+    rows = _placed(rows, by, F.when(piece == -1, F.lit(2**30)).otherwise(piece))
+    counts = rows.groupBy("_group", "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_group", "_piece", F.coalesce(F.sum("_n").over(_before()), F.lit(0)).alias("_off"))
+    local = rows.withColumn("_local", F.row_number().over(_inside(*sort)))
+    return local.join(offsets, ["_group", "_piece"]).select(
         *df.columns, (F.col("_local") + F.col("_off")).cast("int").alias(name)
     )
 
@@ -172,16 +180,17 @@ def previous_values(
     sort = [F.col("_order"), F.col(tie)]
     if not pieces.edges:
         return rows.withColumn(name, F.lag(value).over(Window.partitionBy(*by).orderBy(*sort))).drop("_order")
-    rows = rows.withColumn("_piece", pieces.index(F.col("_order"), F.col(tie)))
-    across = Window.partitionBy(*by).orderBy("_piece")
+    rows = _placed(rows, by, pieces.index(F.col("_order"), F.col(tie)))
+    across = Window.partitionBy("_group").orderBy("_piece")
     carried = (
-        rows.groupBy(*by, "_piece")
+        rows.groupBy("_group", "_piece")
         .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct("_order", tie)).alias("_last"))
-        .select(*by, "_piece", F.lag("_last").over(across).alias("_carried"))
+        .select("_group", "_piece", F.lag("_last").over(across).alias("_carried"))
+    )
+    local = rows.select(
+        "*", F.lag(value).over(_inside(*sort)).alias("_lag"), F.row_number().over(_inside(*sort)).alias("_pos")
     )
-    inside = Window.partitionBy(*by, "_piece").orderBy(*sort)
-    local = rows.select("*", F.lag(value).over(inside).alias("_lag"), F.row_number().over(inside).alias("_pos"))
-    return _join_pieces(local, carried, by).select(
+    return local.join(carried, ["_group", "_piece"]).select(
         *df.columns,
         F.when(F.col("_pos") == 1, F.col("_carried.v")).otherwise(F.col("_lag")).alias(name),
     )

@@ -27,6 +27,14 @@ def test_pieces_follow_order_and_tie_break(spark, skewed):
     assert sizes.max() < 120  # the heavy value alone has 150 rows
 
 
+def test_many_pieces_are_sketched_again_and_looked_up_in_two_steps(spark):
+    df = spark.range(4000).select("id", (F.col("id") * 7919 % 4000).alias("x"), F.lit(None).cast("string").alias("g"))
+    pieces = plan_pieces(df, F.col("x"), rows_per_piece=4)
+    assert 600 < len(pieces.edges) <= 1000
+    got = ranked(df, ["g"], F.col("x"), "id", "rank", pieces).collect()
+    assert all(r["rank"] == r["x"] + 1 for r in got)
+
+
 def test_small_tables_get_one_plain_window(skewed):
     assert plan_pieces(skewed, F.col("x")) == Pieces()
 

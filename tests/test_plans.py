@@ -14,7 +14,7 @@ from riskweave.operators import reasons as rs
 from riskweave.operators import retrieval as rt
 from riskweave.operators import woe
 from riskweave.operators.chunking import chunk_corpus
-from riskweave.operators.ordered import Pieces
+from riskweave.operators.ordered import Pieces, ranked
 
 
 def _plan(df) -> str:
@@ -54,6 +54,19 @@ def test_ordered_windows_in_pieces_never_sort_a_whole_group(spark, build):
     assert row_level and all("_piece" in line for line in row_level)
 
 
+def test_pieces_cost_one_shuffle_of_the_rows(spark, tables):
+    """The join with the offsets keeps the partitioning of the window below it."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.read.parquet(f"{tables}/orders.parquet").select("o_custkey", "o_orderkey", "o_totalprice")
+        plan = _plan(ranked(df, ["o_custkey"], F.col("o_totalprice"), "o_orderkey", pieces=Pieces((1e5, 2e5))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    window = plan.index("row_number")
+    join = plan.index("SortMergeJoin")
+    assert join < window and "Exchange" not in plan[join:window]
+
+
 def test_all_features_share_one_grouping(spark, tables):
     lines = inputs.returned_lines(spark, tables)
     edges = {c: [0.0, 10.0, 20.0, 60.0] for c in ("l_quantity", "l_discount", "l_tax")}
