@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,12 +86,12 @@ def key_uniform(seed: int | str, *keys: Column | str) -> Column:
     return digits.cast("long").cast("double") / float(2**52)
 
 
-def step_index(value: Column, edges: list[float], fine: int = 64) -> Column:
+def step_index(value: Column, edges: list[float], small: int = 32) -> Column:
     """How many of the sorted ``edges`` lie strictly below ``value``.
 
-    Unrolled to a balanced CASE tree, so it stays inside generated code and costs
-    log2(len(edges)) comparisons. Beyond 256 edges the tree picks a run of ``fine``
-    edges, which are then compared one by one.
+    Few edges become a balanced CASE tree, which stays inside generated code; a
+    tree of many would outgrow it. Those are cut into runs of about the square root
+    of their number: first the run is found, then the place in it.
     """
     def descend(cuts: list[float], low: int, high: int) -> Column:
         if low == high:
@@ -97,10 +99,15 @@ def step_index(value: Column, edges: list[float], fine: int = 64) -> Column:
         middle = (low + high) // 2
         return F.when(value <= F.lit(cuts[middle]), descend(cuts, low, middle)).otherwise(descend(cuts, middle + 1, high))
 
-    if len(edges) <= 256:
+    def literal(numbers: list[float]) -> str:
+        return "array(" + ", ".join(f"{float(e)!r}D" for e in numbers) + ")"
+
+    if len(edges) <= small:
         return descend(edges, 0, len(edges))
-    runs = [edges[i:i + fine] for i in range(0, len(edges), fine)]
-    run = descend([r[-1] for r in runs[:-1]], 0, len(runs) - 1)
-    literal = F.expr("array(" + ", ".join("array(" + ", ".join(f"{float(e)!r}D" for e in r) + ")" for r in runs) + ")")
-    below = F.size(F.filter(F.element_at(literal, run + 1), lambda e: e < value))
-    return run * fine + below
+    size = math.isqrt(len(edges) - 1) + 1
+    runs = [edges[i:i + size] for i in range(0, len(edges), size)]
+    ends = [r[-1] for r in runs[:-1]]
+    run = descend(ends, 0, len(ends)) if len(ends) <= small else F.size(
+        F.filter(F.expr(literal(ends)), lambda e: e < value))
+    within = F.element_at(F.expr(f"array({', '.join(map(literal, runs))})"), run + 1)
+    return run * size + F.size(F.filter(within, lambda e: e < value))

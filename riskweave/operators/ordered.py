@@ -237,12 +237,17 @@ def order_statistics(
                 big.append(cell)
         if not big:
             break
-        cells = _narrow(spark, _cell_rows(df, big), big, fanout)
+        cells = _narrow(spark, df, big, fanout)
     if done:
         found.update(_pick(spark, _cell_rows(df, done), done))
     return found
 
 
+def _number(column: str) -> Column:
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def _cell_rows(df: DataFrame, cells: list[_Cell]) -> DataFrame:
     """Rows ``(cell, value)`` of every value inside one of the cells."""
     by_column: dict[str, list[int]] = {}
@@ -250,8 +255,7 @@ def _cell_rows(df: DataFrame, cells: list[_Cell]) -> DataFrame:
         by_column.setdefault(cell.column, []).append(i)
     pairs = []
     for column, members in by_column.items():
-        value = F.col(column).cast("double")
-        value = F.when(~F.isnan(value), value)
+        value = _number(column)
         where = F.lit(None).cast("int")
         for i in members:
             low, high = cells[i].low, cells[i].high
@@ -261,19 +265,32 @@ def _cell_rows(df: DataFrame, cells: list[_Cell]) -> DataFrame:
     return df.select(F.inline(F.array(*pairs))).where("cell IS NOT NULL")
 
 
-def _narrow(spark, rows: DataFrame, cells: list[_Cell], fanout: int) -> list[_Cell]:
+def _part(below: Column, edges: Column, value: Column) -> Column:
+    """Even numbers lie strictly between edges, odd ones are the edge values themselves."""
+    return below * 2 + F.coalesce(F.get(edges, below) == value, F.lit(False)).cast("int")
+
+
+def _narrow(spark, df: DataFrame, cells: list[_Cell], fanout: int) -> list[_Cell]:
     grid = [i / fanout for i in range(1, fanout)]
+    rows = _cell_rows(df, cells)
     sketched = rows.groupBy("cell").agg(F.percentile_approx("value", grid, SKETCH_ACCURACY).alias("edges"))
-    edges = [(r["cell"], sorted(set(r["edges"]))) for r in sketched.collect()]
-    cuts = F.broadcast(spark.createDataFrame(edges, "cell int, edges array<double>"))
-    # even part numbers lie strictly between edges, odd ones are the edge values themselves
-    position = F.size(F.filter("edges", lambda e: e < F.col("value"))) * 2
-    part = position + F.array_contains("edges", F.col("value")).cast("int")
-    counted = (
-        rows.join(cuts, "cell").groupBy("cell", part.alias("part"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .collect()
-    )
+    edges = {r["cell"]: sorted(set(r["edges"])) for r in sketched.collect()}
+    if all(cell.low is None for cell in cells):
+        # the first round reads every row: one literal lookup per column
+        parts = [
+            F.struct(F.lit(i).alias("cell"), _number(c.column).alias("value"), _part(
+                step_index(_number(c.column), edges[i]), F.array(*[F.lit(e) for e in edges[i]]), _number(c.column)
+            ).alias("part"))
+            for i, c in enumerate(cells)
+        ]
+        placed = df.select(F.inline(F.array(*parts))).where("value IS NOT NULL")
+    else:
+        cuts = F.broadcast(spark.createDataFrame(list(edges.items()), "cell int, edges array<double>"))
+        below = F.size(F.filter("edges", lambda e: e < F.col("value")))
+        placed = rows.join(cuts, "cell").select("cell", "value", _part(below, F.col("edges"), F.col("value")).alias("part"))
+    counted = placed.groupBy("cell", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    ).collect()
     smaller = []
     for i, cell in enumerate(cells):
         below = cell.below
@@ -301,11 +318,7 @@ def exact_quantiles(
     df: DataFrame, cols: list[str], probs: list[float], cap: int = 1_000_000, fanout: int = 128
 ) -> dict[str, list[float] | None]:
     """Linearly interpolated quantiles, nulls and NaN left out; ``None`` for an empty column."""
-    def present(c: str) -> Column:
-        value = F.col(c).cast("double")
-        return F.count(F.when(~F.isnan(value), value))
-
-    row = df.agg(*[present(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.count(_number(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     sizes = {c: row[f"n{i}"] for i, c in enumerate(cols)}
     places = {c: [(sizes[c] - 1) * p for p in probs] for c in cols if sizes[c]}
     ranks = {c: sorted({k for x in xs for k in (math.floor(x), math.ceil(x))}) for c, xs in places.items()}
@@ -324,9 +337,5 @@ def quantiles(
     """Exact by default; an ``accuracy`` switches to one sketched pass."""
     if accuracy is None:
         return exact_quantiles(df, cols, probs)
-    def cleaned(c: str) -> Column:
-        value = F.col(c).cast("double")
-        return F.when(~F.isnan(value), value)
-
-    row = df.agg(*[F.percentile_approx(cleaned(c), probs, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.percentile_approx(_number(c), probs, accuracy).alias(f"q{i}") for i, c in enumerate(cols)]).first()
     return {c: row[f"q{i}"] for i, c in enumerate(cols)}

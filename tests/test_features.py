@@ -130,6 +130,14 @@ def test_small_expressions(spark):
     assert [r[0] for r in values.select(risk.step_index(F.col("x"), edges)).collect()] == [0, 0, 1, 1, 3, 3, 4]
 
 
+@pytest.mark.parametrize("n", [0, 1, 31, 33, 100, 1500])
+def test_step_index_with_any_number_of_edges(spark, n):
+    edges = [i * 0.5 for i in range(n)]
+    df = spark.range(-2, n + 2).select((F.col("id") / 2).alias("x"))
+    for x, k in df.select("x", risk.step_index(F.col("x"), edges)).collect():
+        assert k == sum(e < x for e in edges)
+
+
 def test_clock_does_not_depend_on_the_session_zone(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:15.250001' AS ts")
     zone = spark.conf.get("spark.sql.session.timeZone")
