@@ -19,6 +19,8 @@ from riskweave.sources.runlog import append_run, read_runs
 from riskweave.sources.tables import read_optional, read_table, write_report, write_table
 
 PROFILED = ("orders", "o_orderpriority", "o_orderstatus", "o_custkey")
+REQUIRED = {"SK_ID_CURR": "bigint", "TARGET": "int", "AMT_INCOME_TOTAL": "double", "DTI": "double", "BUREAU_CNT": "bigint",
+            "PREV_LAST_AMT_CREDIT": "double"}
 SOME_DAYS = 3 * 86_400
 
 
@@ -107,9 +109,7 @@ def e3_transition_matrix(spark, sf):
 
 
 def q1_required_columns(spark, sf):
-    return pf.required_columns(
-        feature_table(spark, sf), ["SK_ID_CURR", "TARGET", "AMT_INCOME_TOTAL", "DTI", "BUREAU_CNT", "PREV_REFUSED_RATE"]
-    )
+    return pf.required_columns(feature_table(spark, sf), list(REQUIRED))
 
 
 def q2_class_rate_bounds(spark, sf):
@@ -198,6 +198,10 @@ ORACLES = {
                           event_type AS current FROM events),
              n AS (SELECT previous, current, count(*) AS n FROM p WHERE previous IS NOT NULL GROUP BY 1, 2)
         SELECT previous, current, n, round(n / sum(n) OVER (PARTITION BY previous), 6) AS share FROM n""",
+    "q1_required_columns": f"""
+        {sql.FEATURES} {" UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", true AS present, '{t}' AS type, count({c}) AS n_filled FROM features"
+            for c, t in REQUIRED.items())}""",
     "q2_class_rate_bounds": f"""
         {sql.APPLICANTS} SELECT round(avg(TARGET), 6) AS positive_rate,
                avg(TARGET) > 0.04 AND avg(TARGET) < 0.14 AS ok FROM applicants""",

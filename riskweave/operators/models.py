@@ -30,7 +30,7 @@ def positive_weight(train: DataFrame, label: str) -> float:
 
 def fit_gbt(
     train: DataFrame, label: str, features: list[str], weighted: bool = False, trees: int = 50, depth: int = 5,
-    seed: int = 42,
+    step: float = 0.05, seed: int = 42,
 ) -> PipelineModel:
     """Gradient-boosted trees; ``weighted`` lets the positives weigh as much as the negatives."""
     weight = positive_weight(train, label) if weighted else 1.0
@@ -39,7 +39,7 @@ def fit_gbt(
         F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)).alias("_weight"),
     ).persist()
     booster = GBTClassifier(
-        featuresCol="_features", labelCol="_label", weightCol="_weight", predictionCol="_prediction", maxIter=trees, maxDepth=depth, stepSize=0.05,
+        featuresCol="_features", labelCol="_label", weightCol="_weight", predictionCol="_prediction", maxIter=trees, maxDepth=depth, stepSize=step,
         subsamplingRate=0.8, featureSubsetStrategy="0.8" if len(features) > 1 else "all", seed=seed,
     ).setRawPredictionCol("_raw").setProbabilityCol("_probability")
     try:

@@ -100,10 +100,16 @@ def class_rates(df: DataFrame, label: str, by: list[str]) -> DataFrame:
 
 # --------------------------------------------------------------------------- quality checks
 def required_columns(df: DataFrame, required: list[str]) -> DataFrame:
-    """One row per required column: is it there, and with which type."""
+    """One row per required column: is it there, with which type, and in how many rows it is filled."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = [(c, c in types, types.get(c)) for c in required]
-    return df.sparkSession.createDataFrame(rows, "column string, present boolean, type string")
+    row = df.agg(*[
+        (F.count(c) if c in types else F.lit(0).cast("long")).alias(f"c{i}") for i, c in enumerate(required)
+    ])
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(c in types).alias("present"),
+                 F.lit(types.get(c)).cast("string").alias("type"), F.col(f"c{i}").alias("n_filled"))
+        for i, c in enumerate(required)
+    ])))
 
 
 def class_rate_bounds(df: DataFrame, label: str, low: float, high: float) -> DataFrame:

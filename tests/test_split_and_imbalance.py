@@ -120,8 +120,8 @@ def test_profile_and_checks(spark):
     assert dict(map(tuple, pf.distinct_counts(df, ["x", "e", "s"]).collect())) == {"x": 2, "e": 0, "s": 2}
     wide = spark.range(500).select("id", (F.col("id") % 11).alias("m"), (F.col("id") % 10).alias("t"))
     assert pf.exceeds_distinct(wide, ["id", "m", "t"]) == {"id": True, "m": True, "t": False}
-    there = {r["column"]: r["present"] for r in pf.required_columns(df, ["id", "z"]).collect()}
-    assert there == {"id": True, "z": False}
+    there = [tuple(r) for r in pf.required_columns(df, ["id", "x", "z"]).collect()]
+    assert there == [("id", True, "bigint", 3), ("x", True, "double", 2), ("z", False, None, 0)]
     assert pf.class_rate_bounds(df, "y", 0.5, 0.7).first()["ok"] and not pf.class_rate_bounds(df, "y", 0.7, 0.9).first()["ok"]
     leaks = {r["column"]: r["ok"] for r in pf.leakage_check(df, "y", ["id", "e"], 0.1).collect()}
     assert leaks == {"id": False, "e": True}
