@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions import risk
-from riskweave.operators.ordered import Pieces, previous_values, quantiles, ranked, running_sums
+from riskweave.operators.ordered import Pieces, plan_pieces, previous_values, quantiles, ranked, running_sums
 
 # The output columns of the applicant feature table, and those
 # among them that mean "nothing happened" when an applicant has no history.
@@ -214,6 +214,7 @@ def rolling_count(
     come from one running sum over event marks and window-open marks, so a hot key
     is cut along time like any other.
     """
+    pieces = plan_pieces(events, seconds.cast("long") * 2) if pieces is None else pieces
     per_second = events.groupBy(key, seconds.cast("long").alias("second")).agg(F.count(F.lit(1)).alias("n"))
     # a window opens just before its first second: order doubled seconds, openings one lower
     marks = per_second.select(

@@ -6,12 +6,10 @@ pieces (see ``ordered``), so continuous scores and a dominant segment both scale
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators.ordered import Pieces, running_sums
+from riskweave.operators.ordered import Pieces, plan_pieces, running_sums
 
 
 def score_histogram(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
@@ -32,32 +30,54 @@ def cumulative_distribution(hist: DataFrame, by: list[str] | None = None, pieces
     return summed.select("*", share("pos").alias("bad_share"), share("neg").alias("good_share"))
 
 
-def ranking_metrics(hist: DataFrame, by: list[str] | None = None, pieces: Pieces | None = None) -> DataFrame:
-    """``auc, auprc, ks, gini, positive_rate`` per group.
-
-    Tied scores count half in the AUC and move together in AP and KS. AP is the
-    step sum over thresholds, not the area under an interpolated curve. With one
-    class only, AUC, AP and Gini are null.
-    """
-    by = by or []
+def _summed(hist: DataFrame, by: list[str], pieces: Pieces | None, threshold: float) -> DataFrame:
+    """Every sum the metrics need, per group, from one pass over the histogram."""
     c = cumulative_distribution(hist, by, pieces)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     neg_below = F.col("cum_neg") - neg
     # predicted positive when the threshold is this score: everything not below it
     hits = F.col("tot_pos") - F.col("cum_pos") + pos
     flagged = hits + F.col("tot_neg") - F.col("cum_neg") + neg
-    out = c.groupBy(*by).agg(
+    above = F.col("score") >= F.lit(threshold)
+    return c.groupBy(*by).agg(
         F.sum(pos).alias("p"), F.sum(neg).alias("n"),
         F.sum(pos * (neg_below + neg / 2)).alias("pairs"),
         F.sum(pos * (hits / flagged)).alias("steps"),
         F.max(F.abs(F.col("bad_share") - F.col("good_share"))).alias("ks"),
+        F.coalesce(F.sum(F.when(above, pos)), F.lit(0.0)).alias("tp"),
+        F.coalesce(F.sum(F.when(above, neg)), F.lit(0.0)).alias("fp"),
     )
+
+
+def _ranking_columns() -> list[Column]:
     both = (F.col("p") > 0) & (F.col("n") > 0)
     auc = F.when(both, F.col("pairs") / (F.col("p") * F.col("n")))
-    return out.select(
-        *by, auc.alias("auc"), F.when(both, F.col("steps") / F.col("p")).alias("auprc"), "ks",
+    return [
+        auc.alias("auc"), F.when(both, F.col("steps") / F.col("p")).alias("auprc"), F.col("ks"),
         (2 * auc - 1).alias("gini"), (F.col("p") / F.nullif(F.col("p") + F.col("n"), F.lit(0.0))).alias("positive_rate"),
-    )
+    ]
+
+
+def _threshold_columns(tp: Column, fp: Column, fn: Column, tn: Column) -> list[Column]:
+    """Empty denominators give 0."""
+    spread = (tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)
+    return [
+        (tp / F.greatest(tp + fn, F.lit(1.0))).alias("recall"),
+        (tp / F.greatest(tp + fp, F.lit(1.0))).alias("precision"),
+        F.coalesce(2 * tp / F.nullif(2 * tp + fp + fn, F.lit(0.0)), F.lit(0.0)).alias("f1"),
+        F.coalesce((tp * tn - fp * fn) / F.nullif(F.sqrt(spread), F.lit(0.0)), F.lit(0.0)).alias("mcc"),
+    ]
+
+
+def ranking_metrics(hist: DataFrame, by: list[str] | None = None, pieces: Pieces | None = None) -> DataFrame:
+    """``auc, auprc, ks, gini, positive_rate`` per group.
+
+    Tied scores count half in the AUC and move together in AP and KS. AP is the
+    step sum over thresholds, not the area under an interpolated curve. With one
+    class only, AUC, AP and Gini are null.
+    """
+    by = by or []
+    return _summed(hist, by, pieces, 0.5).select(*by, *_ranking_columns())
 
 
 def confusion_counts(
@@ -80,15 +100,7 @@ def threshold_metrics(
 ) -> DataFrame:
     """``tp, fp, fn, tn, recall, precision, f1, mcc``; empty denominators give 0."""
     counts = confusion_counts(df, label, score, threshold, by)
-    tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
-    spread = (tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)
-    return counts.select(
-        "*",
-        (tp / F.greatest(tp + fn, F.lit(1.0))).alias("recall"),
-        (tp / F.greatest(tp + fp, F.lit(1.0))).alias("precision"),
-        F.coalesce(2 * tp / F.nullif(2 * tp + fp + fn, F.lit(0.0)), F.lit(0.0)).alias("f1"),
-        F.coalesce((tp * tn - fp * fn) / F.nullif(F.sqrt(spread), F.lit(0.0)), F.lit(0.0)).alias("mcc"),
-    )
+    return counts.select("*", *_threshold_columns(*(F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))))
 
 
 BUNDLE = ("auc", "auprc", "ks", "gini", "f1", "mcc", "recall", "precision", "positive_rate")
@@ -98,15 +110,14 @@ def metric_bundle(
     df: DataFrame, label: str, score: str, threshold: float = 0.5, by: list[str] | None = None,
     pieces: Pieces | None = None,
 ) -> DataFrame:
-    """All metrics in one row per group."""
+    """All metrics in one row per group, from one scan: the threshold counts are sums over the histogram."""
     by = by or []
-    ranking = ranking_metrics(score_histogram(df, label, score, by), by, pieces)
-    at = threshold_metrics(df, label, score, threshold, by)
-    if not by:
-        return ranking.select(F.lit(0).alias("_k"), "*").join(at.select(F.lit(0).alias("_k"), "*"), "_k").select(*BUNDLE)
-    match = reduce(lambda a, b: a & b, [F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in by])
-    joined = ranking.alias("r").join(at.alias("t"), match)
-    return joined.select(*[F.col(f"r.{c}").alias(c) for c in by], *BUNDLE)
+    # sketched on the rows as they are read: the histogram would have to be shuffled for it
+    pieces = plan_pieces(df, F.col(score)) if pieces is None else pieces
+    summed = _summed(score_histogram(df, label, score, by), by, pieces, threshold)
+    tp, fp = F.col("tp"), F.col("fp")
+    wide = summed.select(*by, *_ranking_columns(), *_threshold_columns(tp, fp, F.col("p") - tp, F.col("n") - fp))
+    return wide.select(*by, *BUNDLE)
 
 
 def metric_rows(bundle: DataFrame, names: list[str] | None = None) -> DataFrame:
