@@ -21,7 +21,8 @@ from riskweave.sources.tables import read_table, write_report
 MODEL_COLUMNS = ["DTI", "AMT_ANNUITY", "CREDIT_INCOME_RATIO", "AMT_CREDIT", "AMT_INCOME_TOTAL", "AGE_YEARS",
                  "EMPLOYED_YEARS", "BUREAU_OVERDUE_SUM", "BUREAU_MAX_DAYS_OVERDUE", "BUREAU_DEBT_MEAN",
                  "BUREAU_ACTIVE_CNT", "BUREAU_CNT", "PREV_REFUSED_RATE", "PREV_CNT", "PREV_LAST_AMT_CREDIT"]
-MONEY = ("BUREAU_DEBT_MEAN", "BUREAU_OVERDUE_SUM")
+# means of cents over 2^k rows end on a 5 in decimal k + 3: round them further out
+MONEY = ("BUREAU_DEBT_MEAN", "BUREAU_OVERDUE_SUM", "AMT_ANNUITY")
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount"]
 RANKED = [*LINE_NUMBERS, "l_tax", "l_linestatus"]
 
@@ -35,7 +36,7 @@ def _ratio_query(column):
 
 def b5_zero_fill(spark, sf):
     out = feature_table(spark, sf).select("SK_ID_CURR", *ft.HISTORY_FEATURES, *ft.PRIOR_FEATURES)
-    return rounded(out, "PREV_REFUSED_RATE", *MONEY)
+    return rounded(rounded(out, "PREV_REFUSED_RATE"), *MONEY[:2], digits=8)
 
 
 def b6_ratios_in_sql(spark, sf):
@@ -47,7 +48,7 @@ def b6_ratios_in_sql(spark, sf):
 def b7_model_features(spark, sf):
     table_ = feature_table(spark, sf)
     names = ft.model_features(table_)
-    return rounded(table_.select("SK_ID_CURR", *names), *names)
+    return rounded(rounded(table_.select("SK_ID_CURR", *names), *[c for c in names if c not in MONEY]), *MONEY, digits=8)
 
 
 def b8_median_imputation(spark, sf):
@@ -83,12 +84,12 @@ def b12_clip_probability(spark, sf):
 
 def c1_applicant_features(spark, sf):
     """Flagship: ratios, credit-history and prior-application aggregates per applicant."""
-    ratios = ("DTI", "CREDIT_INCOME_RATIO", "AGE_YEARS", "EMPLOYED_YEARS", "PREV_REFUSED_RATE", "AMT_ANNUITY")
-    return rounded(feature_table(spark, sf), *ratios, *MONEY)
+    ratios = ("DTI", "CREDIT_INCOME_RATIO", "AGE_YEARS", "EMPLOYED_YEARS", "PREV_REFUSED_RATE")
+    return rounded(rounded(feature_table(spark, sf), *ratios), *MONEY, digits=8)
 
 
 def d1_history_aggregates(spark, sf):
-    return rounded(ft.history_aggregates(history(spark, sf)), *MONEY)
+    return rounded(ft.history_aggregates(history(spark, sf)), *MONEY[:2], digits=8)
 
 
 def d2_prior_aggregates(spark, sf):
@@ -274,8 +275,8 @@ QUERIES = {
 )}
 
 # --------------------------------------------------------------------------- comparison SQL
-_HISTORY_OUT = """BUREAU_CNT, BUREAU_ACTIVE_CNT, round(BUREAU_DEBT_MEAN, 6) AS BUREAU_DEBT_MEAN,
-    round(BUREAU_OVERDUE_SUM, 6) AS BUREAU_OVERDUE_SUM, BUREAU_MAX_DAYS_OVERDUE"""
+_HISTORY_OUT = """BUREAU_CNT, BUREAU_ACTIVE_CNT, round(BUREAU_DEBT_MEAN, 8) AS BUREAU_DEBT_MEAN,
+    round(BUREAU_OVERDUE_SUM, 8) AS BUREAU_OVERDUE_SUM, BUREAU_MAX_DAYS_OVERDUE"""
 _PRIOR_OUT = "PREV_CNT, round(PREV_REFUSED_RATE, 6) AS PREV_REFUSED_RATE, PREV_LAST_AMT_CREDIT"
 _LINES = "WITH lines AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS returned FROM lineitem),"
 _DOCS = """WITH docs AS (SELECT doc_id, lang, source, n_chars, quality, toxic,
@@ -331,7 +332,7 @@ ORACLES = {
     "b6_ratios_in_sql": f"""{sql.FEATURES} SELECT SK_ID_CURR, round(DTI, 6) AS DTI,
         round(CREDIT_INCOME_RATIO, 6) AS CREDIT_INCOME_RATIO, round(AGE_YEARS, 6) AS AGE_YEARS FROM features""",
     "b7_model_features": f"""{sql.FEATURES} SELECT SK_ID_CURR, {", ".join(
-        f"round({c}, 6) AS {c}" for c in MODEL_COLUMNS)} FROM features""",
+        f"round({c}, {8 if c in MONEY else 6}) AS {c}" for c in MODEL_COLUMNS)} FROM features""",
     "b8_median_imputation": f"""{sql.FEATURES}, m AS (
             SELECT median(DTI) AS d, median(EMPLOYED_YEARS) AS e, median(AMT_CREDIT) AS c
             FROM features WHERE NOT {sql.is_test('SK_ID_CURR')})
@@ -349,7 +350,7 @@ ORACLES = {
     "b12_clip_probability": """
         SELECT round(least(greatest(l_discount * 10, 1e-6), 1 - 1e-6), 6) AS p, count(*) AS n FROM lineitem GROUP BY 1""",
     "c1_applicant_features": f"""{sql.FEATURES} SELECT SK_ID_CURR, TARGET, AMT_INCOME_TOTAL, NAME_INCOME_TYPE, AMT_CREDIT,
-        round(AMT_ANNUITY, 6) AS AMT_ANNUITY, DAYS_BIRTH, DAYS_EMPLOYED, round(DTI, 6) AS DTI,
+        round(AMT_ANNUITY, 8) AS AMT_ANNUITY, DAYS_BIRTH, DAYS_EMPLOYED, round(DTI, 6) AS DTI,
         round(CREDIT_INCOME_RATIO, 6) AS CREDIT_INCOME_RATIO, round(AGE_YEARS, 6) AS AGE_YEARS,
         round(EMPLOYED_YEARS, 6) AS EMPLOYED_YEARS, {_HISTORY_OUT}, {_PRIOR_OUT} FROM features""",
     "d1_history_aggregates": f"{sql.AGGREGATES} SELECT SK_ID_CURR, {_HISTORY_OUT} FROM history_agg",

@@ -39,7 +39,7 @@ def a2_optional_tables(spark, sf):
 def a3_feature_sink(spark, sf):
     path = write_table(feature_table(spark, sf), work_folder(spark, "features"))
     out = read_table(spark, path).select("SK_ID_CURR", "DTI", *ft.HISTORY_FEATURES, *ft.PRIOR_FEATURES)
-    return rounded(out, "DTI", "PREV_REFUSED_RATE", "BUREAU_DEBT_MEAN", "BUREAU_OVERDUE_SUM")
+    return rounded(rounded(out, "DTI", "PREV_REFUSED_RATE"), "BUREAU_DEBT_MEAN", "BUREAU_OVERDUE_SUM", digits=8)
 
 
 def a7_rows_processed(spark, sf):
@@ -146,7 +146,7 @@ ORACLES = {
                round(PREV_REFUSED_RATE, 6) AS PREV_REFUSED_RATE, PREV_LAST_AMT_CREDIT FROM features""",
     "a3_feature_sink": f"""
         {sql.FEATURES} SELECT SK_ID_CURR, round(DTI, 6) AS DTI, BUREAU_CNT, BUREAU_ACTIVE_CNT,
-               round(BUREAU_DEBT_MEAN, 6) AS BUREAU_DEBT_MEAN, round(BUREAU_OVERDUE_SUM, 6) AS BUREAU_OVERDUE_SUM,
+               round(BUREAU_DEBT_MEAN, 8) AS BUREAU_DEBT_MEAN, round(BUREAU_OVERDUE_SUM, 8) AS BUREAU_OVERDUE_SUM,
                BUREAU_MAX_DAYS_OVERDUE, PREV_CNT, round(PREV_REFUSED_RATE, 6) AS PREV_REFUSED_RATE,
                PREV_LAST_AMT_CREDIT FROM features""",
     "a7_rows_processed": """
