@@ -75,14 +75,15 @@ def m6_benchmark(spark, sf):
     train, test = _sides(spark, sf)
     fitted = md.fit_all({
         "gbm": lambda: _gbt(train),
-        "gbm unweighted": lambda: md.fit_gbt(train, "is_fraud", TRANSACTION_FEATURES, trees=TREES),
+        "mlp": lambda: md.fit_mlp(train, "is_fraud", TRANSACTION_FEATURES, HIDDEN, iterations=ITERATIONS),
     })
     return rounded(md.benchmark(fitted, test, "is_fraud"), *md.RESULT_COLUMNS)
 
 
 def m7_promote(spark, sf):
     train, test = _sides(spark, sf)
-    fitted = {"gbm": _gbt(train)}
+    plain = md.fit_gbt(train, "is_fraud", TRANSACTION_FEATURES, trees=TREES)
+    fitted = {"weighted": _gbt(train), "unweighted": plain}
     path = work_folder(spark, "champion")
     md.promote(md.benchmark(fitted, test, "is_fraud"), fitted, path)
     return rounded(spark.read.parquet(f"{path}/alias/champion").select("alias", "model", "auprc"), "auprc")

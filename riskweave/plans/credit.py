@@ -74,8 +74,8 @@ def run_credit(
         )
     append_run(spark, f"{out}/runs", "credit", "gbm", metrics={"auc_lift_over_scorecard": lift["lift"]})
     summary = table.agg(F.round(F.avg(target), 4).alias("default_rate")).select(
-        F.lit(lift["baseline"]).alias("scorecard_auc"), F.lit(lift["candidate"]).alias("gbm_auc"),
-        F.lit(lift["lift"]).alias("auc_lift"), F.lit(len(chosen)).alias("n_selected_features"), "default_rate",
+        F.round(F.lit(lift["baseline"]), 4).alias("scorecard_auc"), F.round(F.lit(lift["candidate"]), 4).alias("gbm_auc"),
+        F.round(F.lit(lift["lift"]), 4).alias("auc_lift"), F.lit(len(chosen)).alias("n_selected_features"), "default_rate",
     )
     write_report(summary, f"{out}/summary", "json")
     return CreditRun(results, ranking, notice, summary, card, gbm)
