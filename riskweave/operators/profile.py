@@ -47,12 +47,16 @@ def table_profile(df: DataFrame, target: str) -> DataFrame:
     )
 
 
-def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Distinct non-null values per column, exact.
+def distinct_counts(df: DataFrame, cols: list[str], approximate: bool = False) -> DataFrame:
+    """Distinct non-null values per column.
 
-    One (column, value) grouping for all columns; the second count is map-side
-    combined, so no column's values meet in one task.
+    Exact: one (column, value) grouping for all columns; the second count is
+    map-side combined, so no column's values meet in one task. Approximate: one
+    sketched pass without a shuffle of values.
     """
+    if approximate:
+        row = df.agg(*[F.approx_count_distinct(c).alias(f"c{i}") for i, c in enumerate(cols)])
+        return _long(row, cols, ("column", "n_distinct"))
     pairs = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]
     values = df.select(F.inline(F.array(*pairs))).where("value IS NOT NULL")
     counted = values.groupBy("column", "value").agg(F.lit(1).alias("one")).groupBy("column").agg(

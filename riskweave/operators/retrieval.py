@@ -201,8 +201,12 @@ def top_k_dense(
     queries: DataFrame, corpus: DataFrame, vector: str = "embedding", order: list[str] = ("id",),
     payload: list[str] = ("id",), k: int = TOP_K, block: int = QUERY_BLOCK,
 ) -> DataFrame:
-    """1 - cosine distance to stored vectors. ``queries``: ``query_id, vector`` of the same length."""
+    """1 - cosine distance to stored vectors. ``queries``: ``query_id, vector`` of the same length.
+
+    Rows without a vector are not found.
+    """
     id_type = queries.schema["query_id"].dataType.simpleString()
+    corpus = corpus.where(F.col(vector).isNotNull())
 
     def search(part: DataFrame) -> DataFrame:
         rows = part.select("query_id", F.col("vector").cast("array<double>").alias("v")).collect()

@@ -190,7 +190,8 @@ def test_dense_top_k_equals_brute_force(spark, block):
     stored = rng.normal(size=(200, 6)).astype("float32")
     stored[7] = 0
     queries = rng.normal(size=(8, 6))
-    corpus = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(stored)], "id int, embedding array<float>")
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(stored)] + [(999, None)]
+    corpus = spark.createDataFrame(rows, "id int, embedding array<float>")
     asked = spark.createDataFrame([(f"q{i}", [float(x) for x in v]) for i, v in enumerate(queries)], "query_id string, vector array<double>")
     got: dict = {}
     for r in rt.top_k_dense(asked, corpus.repartition(4), k=3, block=block).orderBy("query_id", "rank").collect():

@@ -118,6 +118,7 @@ def test_profile_and_checks(spark):
     assert found["id"] == pytest.approx(abs(np.corrcoef([1, 2, 3], [0, 1, 1])[0, 1])) and found["e"] is None
     assert tuple(pf.table_profile(df, "y").first()) == (3, 5, pytest.approx(2 / 3))
     assert dict(map(tuple, pf.distinct_counts(df, ["x", "e", "s"]).collect())) == {"x": 2, "e": 0, "s": 2}
+    assert dict(map(tuple, pf.distinct_counts(df, ["x", "s"], approximate=True).collect())) == {"x": 2, "s": 2}
     wide = spark.range(500).select("id", (F.col("id") % 11).alias("m"), (F.col("id") % 10).alias("t"))
     assert pf.exceeds_distinct(wide, ["id", "m", "t"]) == {"id": True, "m": True, "t": False}
     there = [tuple(r) for r in pf.required_columns(df, ["id", "x", "z"]).collect()]
