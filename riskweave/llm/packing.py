@@ -7,7 +7,10 @@ bounded number to a task, and packs them by best fit again, until one task holds
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import reduce
 
@@ -22,6 +25,10 @@ from riskweave.session import materialize
 
 MEMBERS = "array<struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long,offset:long>>"
 BINS = f"sequence_id long, filled int, members {MEMBERS}"
+#: Letters, and the characters that byte-level vocabularies write for bytes.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 _MEMBER = pa.list_(pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                               ("ids_crc32", pa.int64()), ("offset", pa.int64())]))
 
@@ -33,14 +40,33 @@ class WordTokens:
     """
 
     def __init__(self, tokenizer: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.memo = Memo(lambda word: self._make([word])[0], limit=400_000)
+        probes = ["Version", "straÙe", "ÄÖÿß", "x"]
+        self.direct = [self._merged(w) for w in probes] == self._encoded(probes)
 
-    def _make(self, words: list[str]) -> list[bytes]:
+    def _encoded(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _merged(self, word: str) -> bytes:
+        """A word of Latin letters alone passes all but the merges as its lower-cased bytes."""
+        letters = word.lower()
+        if not letters.isascii():
+            letters = letters.encode("utf-8").decode("latin-1").translate(_BYTE_LETTERS)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def _make(self, words: list[str]) -> list[bytes]:
+        if not self.direct:
+            return self._encoded(words)
+        plain = {w: self._merged(w) for w in words if _LATIN.fullmatch(w)}
+        rest = [w for w in words if w not in plain]
+        if rest:
+            plain.update(zip(rest, self._encoded(rest)))
+        return [plain[w] for w in words]
 
     def __call__(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
