@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +30,7 @@ def crc_of(key: str) -> Column:
 class Memo(dict):
     """A cache of ``make(key)`` that starts anew at ``limit`` entries and doesn't keep long keys."""
 
-    def __init__(self, make, limit: int = 600_000, longest: int = 48):
+    def __init__(self, make, limit: int = 1_000_000, longest: int = 48):
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
 
@@ -38,3 +41,11 @@ class Memo(dict):
                 self.clear()
             self[key] = value
         return value
+
+
+def held(key, make):
+    """One object per Python worker, kept from task to task; globals of this package come anew with each task."""
+    kept = sys.modules.setdefault("_riskweave_held", types.ModuleType("_riskweave_held")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import Memo, keyed, table
+from riskweave.llm.common import Memo, held, keyed, table
 from riskweave.session import materialize
 
 MEMBERS = "array<struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long,offset:long>>"
@@ -44,7 +44,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.memo = Memo(lambda word: self._make([word])[0], limit=400_000)
+        self.memo = Memo(lambda word: self._make([word])[0])
         probes = ["Version", "straÙe", "ÄÖÿß", "x"]
         self.direct = [self._merged(w) for w in probes] == self._encoded(probes)
 
@@ -140,7 +140,7 @@ def _bin_batch(bins: list[tuple[int, int, list[tuple]]]) -> pa.RecordBatch:
 
 def _pack_pieces(tokenizer: str, end_id: int, size: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, numbers = WordTokens(tokenizer), _numbers(0)
+        tokens, numbers = held(("words", hash(tokenizer)), lambda: WordTokens(tokenizer)), _numbers(0)
         end = np.array([end_id], "<u4").tobytes()
         pieces: list[tuple] = []
 

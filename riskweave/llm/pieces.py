@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from riskweave.llm.common import Memo, keyed, table
+from riskweave.llm.common import Memo, held, keyed, table
 
 SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -241,7 +241,7 @@ class PieceCodec:
 
 def _arrow_codec(model: bytes, work) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = PieceCodec(model)
+        codec = held(("pieces", hash(model)), lambda: PieceCodec(model))
         for batch in batches:
             yield work(codec, batch)
 
