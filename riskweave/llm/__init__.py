@@ -4,13 +4,21 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from riskweave.llm import packing, pieces
+    from riskweave.llm import exact, language, packing, pages, pieces, surrogates, topk, toxicity
 
     return {
         "op1_sentencepiece": pieces.op1_sentencepiece,
+        "op2_exact_dedup": exact.op2_exact_dedup,
         "op3_best_fit_packing": packing.op3_best_fit_packing,
+        "op6_language_id": language.op6_language_id,
+        "op7_html_extraction": pages.op7_html_extraction,
+        "op8_exact_topk": topk.op8_exact_topk,
+        "op9_toxicity": toxicity.op9_toxicity,
+        "op10_pii_surrogates": surrogates.op10_pii_surrogates,
     }
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    from riskweave.llm import exact, topk
+
+    return {"op2_exact_dedup": exact.OP2_SQL, "op8_exact_topk": topk.OP8_SQL}
