@@ -4,12 +4,13 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from riskweave.llm import exact, language, packing, pages, pieces, surrogates, topk, toxicity
+    from riskweave.llm import exact, language, packing, pages, pieces, suffixes, surrogates, topk, toxicity
 
     return {
         "op1_sentencepiece": pieces.op1_sentencepiece,
         "op2_exact_dedup": exact.op2_exact_dedup,
         "op3_best_fit_packing": packing.op3_best_fit_packing,
+        "op4_suffix_dedup": suffixes.op4_suffix_dedup,
         "op6_language_id": language.op6_language_id,
         "op7_html_extraction": pages.op7_html_extraction,
         "op8_exact_topk": topk.op8_exact_topk,
