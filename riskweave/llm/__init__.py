@@ -4,13 +4,14 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from riskweave.llm import exact, language, packing, pages, pieces, suffixes, surrogates, topk, toxicity
+    from riskweave.llm import exact, jaccard, language, packing, pages, pieces, suffixes, surrogates, topk, toxicity
 
     return {
         "op1_sentencepiece": pieces.op1_sentencepiece,
         "op2_exact_dedup": exact.op2_exact_dedup,
         "op3_best_fit_packing": packing.op3_best_fit_packing,
         "op4_suffix_dedup": suffixes.op4_suffix_dedup,
+        "op5_ngram_jaccard_join": jaccard.op5_ngram_jaccard_join,
         "op6_language_id": language.op6_language_id,
         "op7_html_extraction": pages.op7_html_extraction,
         "op8_exact_topk": topk.op8_exact_topk,
@@ -20,6 +21,7 @@ def all_queries() -> dict:
 
 
 def all_oracles() -> dict[str, str]:
-    from riskweave.llm import exact, topk
+    from riskweave.llm import exact, jaccard, topk
 
-    return {"op2_exact_dedup": exact.OP2_SQL, "op8_exact_topk": topk.OP8_SQL}
+    return {"op2_exact_dedup": exact.OP2_SQL, "op5_ngram_jaccard_join": jaccard.OP5_SQL,
+            "op8_exact_topk": topk.OP8_SQL}

@@ -22,6 +22,21 @@ def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
 
 
+#: Ids of so many documents at most are sent to all executors; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows whose key isn't among ``ids`` (one column named as the key, stored)."""
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, key, "left_anti").select(docs.columns)
+
+
+def only_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows whose key is among ``ids`` where that saves moving the others; else all rows."""
+    return docs.join(F.broadcast(ids), key, "left_semi") if ids.count() <= BROADCAST_IDS else docs
+
+
 def crc_of(key: str) -> Column:
     """crc32 of the key written as text, by which rows are held out."""
     return F.crc32(F.col(key).cast("string").cast("binary"))

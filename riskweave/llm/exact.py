@@ -18,13 +18,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import crc_of, keyed, table, text_or_empty
+from riskweave.llm.common import crc_of, keyed, only_ids, table, text_or_empty, without_ids
 from riskweave.llm.fuse import FuseFilter
 from riskweave.session import materialize
 
 DIGEST = ["sha", "check", "n_bytes"]
-#: Ids of so many documents at most are sent to all executors; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 
 
 def _digests(with_text: bool):
@@ -81,8 +79,7 @@ class Snapshot:
 def _with_equal_bytes(docs: DataFrame, matches: DataFrame) -> DataFrame:
     """Of matches (both sides' kept ids and the digest) those whose texts are equal byte by byte."""
     ids = materialize(matches.select(F.explode(F.array("keep_id", "old_id")).alias("doc_id")).distinct(), "dup-ids")
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = docs.join(wanted, "doc_id", "left_semi").mapInArrow(
+    texts = only_ids(docs, ids).join(ids, "doc_id", "left_semi").mapInArrow(
         _digests(True), "doc_id long, sha binary, check long, n_bytes long, bytes binary").dropDuplicates(["doc_id", "sha"])
     texts = materialize(texts.select("doc_id", "sha", "bytes"), "dup-texts")
     new = texts.withColumnsRenamed({"doc_id": "keep_id", "bytes": "new_bytes"})
@@ -136,6 +133,21 @@ def _matches(docs: DataFrame, snapshot: Snapshot, groups: DataFrame) -> DataFram
     return _with_equal_bytes(docs, same)
 
 
+def keep_one(df: DataFrame, batch: Column, batches: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with one row of each group of equal texts, that of the largest id."""
+    judged = materialize(exact_duplicates(df, batch, batches, key, text), "judged")
+    n, ids = judged.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if n == ids == df.count():
+        gone = materialize(judged.filter("not kept").select(F.col("doc_id").alias(key)), "dropped-ids")
+        return without_ids(df, gone, key)
+    # ids that repeat: the digest tells which of their rows stays
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    digest = F.sha2(F.translate(text_or_empty(text), letters, letters.lower()).cast("binary"), 256)
+    stays = judged.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
+    rows = df.withColumn("_id", F.col(key).cast("long")).withColumn("_digest", digest).dropDuplicates(["_id", "_digest"])
+    return rows.join(stays, ["_id", "_digest"], "left_semi").select(df.columns)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"), crc_of("doc_id") % 2, 2)
 

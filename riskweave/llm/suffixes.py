@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import keyed, table
+from riskweave.llm.common import BROADCAST_IDS, keyed, only_ids, table
 from riskweave.session import materialize
 
 LENGTH = 100
@@ -29,8 +29,6 @@ LEFT = LENGTH - PREFIX
 CHUNK = 8 << 20
 #: Bytes of text per range of the arrays, about a thirtieth as many suffixes.
 RANGE_BYTES = 24 << 20
-#: Ids of so many documents at most are sent to all executors, to read only their texts; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 
 _U = np.uint64
 _BASES = [0x9E3779B97F4A7C15, 0xD1B54A32D192ED03]
@@ -313,7 +311,7 @@ class SuffixIndex:
         listed = merged.filter(F.col("kind") == OPEN).mapInArrow(_places(OPEN), _PLACE).groupBy("doc_id").agg(
             F.collect_list(F.struct("pos", "key", "new")).alias("places"))
         listed = materialize(listed, "open-places")
-        texts = _texts_of(reduce(DataFrame.unionByName, self.docs), listed)
+        texts = only_ids(reduce(DataFrame.unionByName, self.docs), listed.select("doc_id"))
         cuts = texts.join(listed, "doc_id").select("doc_id", "text", "places").mapInArrow(_cut_out(self.ranges), _CUTS)
         part = cuts.groupBy("range").applyInArrow(_compared, "doc_id long, start int, end int")
         return whole.unionByName(part)
@@ -328,13 +326,6 @@ class SuffixIndex:
         self.levels.append((size, arrays))
 
 
-def _texts_of(docs: DataFrame, listed: DataFrame) -> DataFrame:
-    """The documents that are listed, if that saves moving the others."""
-    if listed.count() <= BROADCAST_IDS:
-        return docs.join(F.broadcast(listed.select("doc_id")), "doc_id", "left_semi")
-    return docs
-
-
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cut the spans out of each text."""
     for batch in batches:

@@ -249,6 +249,18 @@ def score_toxicity(df: DataFrame, model: ToxicModel, key: str = "doc_id", text:
     return keyed(df, key, text).mapInArrow(run, shape)
 
 
+def reject_toxic(df: DataFrame, model: ToxicModel, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``df`` whose text scores below the threshold, all columns as they are."""
+    place = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [model.probability(*model.passages(v.as_py() or "")) for v in batch.column(place)]
+            yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def trained(spark: SparkSession, sf_dir: str) -> ToxicModel:
     """From the labels that aren't held out."""
     labels = table(spark, sf_dir, "labels").filter(crc_of("doc_id") % 5 != 0)
