@@ -25,20 +25,27 @@ from riskweave.session import materialize
 LENGTH = 100
 PREFIX = 32
 LEFT = LENGTH - PREFIX
+#: Bytes of text that are fingerprinted at once; longer texts go block by block.
+BLOCK = 1 << 18
 #: Bytes of text whose suffixes are sorted at once in a task.
-CHUNK = 8 << 20
+CHUNK = 24 << 20
 #: Bytes of text per range of the arrays, about a thirtieth as many suffixes.
 RANGE_BYTES = 24 << 20
 
 _U = np.uint64
+_TABLES: dict[int, np.ndarray] = {}
 _BASES = [0x9E3779B97F4A7C15, 0xD1B54A32D192ED03]
 _LETTERS = [np.random.default_rng(seed).integers(0, 2**64, 256, dtype=np.uint64) for seed in (11, 23)]
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    p = np.full(n, base, np.uint64)
-    p[:1] = 1
-    return np.multiply.accumulate(p)
+    """The first n powers, from a table that is made once."""
+    known = _TABLES.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, BLOCK + 2 * LENGTH), base, np.uint64)
+        known[0] = 1
+        known = _TABLES[base] = np.multiply.accumulate(known)
+    return known[:n]
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -60,35 +67,54 @@ class Fingerprints:
         return _mixed((self.sums[end] - self.sums[start]) * self.back[start])
 
 
-def indexed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The indexed places of texts that lie one after another: text number, place in it, fingerprint, surroundings."""
+def indexed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, own: int | None = None) -> tuple:
+    """The indexed places of texts that lie one after another: text number, place in it, fingerprint, surroundings.
+
+    With ``own``, data is a part of one text that begins with up to LEFT bytes before its own first one, which is at
+    ``own``, and only strings that start from there on count.
+    """
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
         return none, none, none.astype(_U), none.astype(_U)
     prints = Fingerprints(data, 0)
     n = len(data) - PREFIX + 1
-    every = np.arange(n)
-    key = prints.of(every, every + PREFIX)
-    least, at = key, every.astype(np.int32)
+    key = _mixed((prints.sums[PREFIX:] - prints.sums[:n]) * prints.back[:n])
+    least, at = key, np.arange(n, dtype=np.int32)
     span, width = 1, LEFT + 1  # the least of `width` neighbours, the leftmost of equal ones
     while span < width:
         step = min(span, width - span)
-        a, b = least[:-step], least[step:]
-        after = b < a
-        least = np.where(after, b, a)
+        after = least[step:] < least[:-step]
         at = np.where(after, at[step:], at[:-step])
+        least = np.minimum(least[step:], least[:-step])
         span += step
-    number = np.repeat(np.arange(len(starts)), ends - starts)
-    at = at[number[:len(at)] == number[LENGTH - 1:LENGTH - 1 + len(at)]].astype(np.int64)  # strings within one text
+    number = np.repeat(np.arange(len(starts), dtype=np.int32), ends - starts)
+    if own is None:
+        at = at[number[:len(at)] == number[LENGTH - 1:LENGTH - 1 + len(at)]]  # strings within one text
+    else:
+        at = at[own:own + BLOCK]
     if not len(at):
         return none, none, none.astype(_U), none.astype(_U)
-    at = at[np.concatenate([[True], at[1:] != at[:-1]])]
+    at = at[np.concatenate([[True], at[1:] != at[:-1]])].astype(np.int64)
     number = number[at]
     low, high = np.maximum(starts[number], at - LEFT), np.minimum(ends[number], at + LENGTH)
     around = _mixed(prints.of(low, high) + (at - low).astype(_U) * _U(0x1F3D5B79))
     return number, at - starts[number], key[at], around
 
 
+def indexed_long(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, fingerprint and surroundings in one text of any length, block by block."""
+    parts, last = [], -1
+    for start in range(0, max(1, len(data) - LENGTH + 1), BLOCK):
+        low = max(0, start - LEFT)
+        part = data[low:start + BLOCK + LEFT + LENGTH]  # all that surrounds the suffixes of the block's strings
+        _, pos, key, around = indexed(part, np.array([0]), np.array([len(part)]), start - low)
+        pos = pos + low
+        fresh = pos > last  # the first may be the one before's last
+        parts.append((pos[fresh], key[fresh], around[fresh]))
+        last = int(pos[-1]) if len(pos) else last
+    return tuple(np.concatenate([p[i] for p in parts]) for i in range(3))
+
+
 def _firsts(key: np.ndarray, around: np.ndarray, doc: np.ndarray, pos: np.ndarray, new: np.ndarray) -> tuple:
     """Order by fingerprint, surroundings, age and place, and which entries are the first of their surroundings."""
     order = np.lexsort((pos, doc, new, around, key))
@@ -118,37 +144,59 @@ def _arrays(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
         texts: list[bytes] = []
-        size = 0
+        found: list[tuple] = []
+        size = total = 0
+
+        def index_block() -> None:
+            """Suffixes of the texts that wait, as arrays of document, place, fingerprint and surroundings."""
+            if len(texts) == 1 and len(texts[0]) > BLOCK:
+                pos, key, around = indexed_long(np.frombuffer(texts[0], np.uint8))
+                doc = np.full(len(pos), ids[0], np.int64)
+            else:
+                lengths = np.array([len(t) for t in texts])
+                ends = np.cumsum(lengths)
+                number, pos, key, around = indexed(np.frombuffer(b"".join(texts), np.uint8), ends - lengths, ends)
+                doc = np.array(ids, np.int64)[number]
+            found.append((doc, pos.astype(np.int32), key, around))
+            ids.clear()
+            texts.clear()
 
         def sorted_chunk() -> pa.RecordBatch:
-            lengths = np.array([len(t) for t in texts])
-            ends = np.cumsum(lengths)
-            number, pos, key, around = indexed(np.frombuffer(b"".join(texts), np.uint8), ends - lengths, ends)
-            doc = np.array(ids, np.int64)[number]
+            doc, pos, key, around = (np.concatenate([f[i] for f in found]) for i in range(4))
+            found.clear()
             if not len(key):
                 return pa.RecordBatch.from_pylist([], _SCHEMA)
             order, _, first = _firsts(key, around, doc, pos, np.zeros(len(key), np.int8))
             kept, again = order[first], order[~first]
             where = _ranges_of(key[kept], ranges)
+            by_range = np.argsort(where, kind="stable")
+            kept, where = kept[by_range], where[by_range]
+            cuts = np.searchsorted(where, np.arange(ranges + 1))
             rows = []
-            for r in np.unique(where):
-                part = kept[where == r]
-                rows.append(_row(int(r), ENTRY, key[part], around[part], doc[part], pos[part]))
+            for r, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                if a < b:
+                    part = kept[a:b]
+                    rows.append(_row(r, ENTRY, key[part], around[part], doc[part], pos[part]))
             if len(again):
                 none = np.zeros(0)
-                rows.append(_row(ids[0] % ranges, REPEAT, none, none, doc[again], pos[again]))
+                rows.append(_row(int(doc[0] % ranges), REPEAT, none, none, doc[again], pos[again]))
             return pa.RecordBatch.from_pylist(rows, _SCHEMA)
 
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = text.as_py().encode("utf-8")
-                if size and size + len(data) > CHUNK:
-                    yield sorted_chunk()
-                    ids, texts, size = [], [], 0
+                if texts and size + len(data) > BLOCK:
+                    index_block()
+                    total, size = total + size, 0
+                    if total >= CHUNK:
+                        yield sorted_chunk()
+                        total = 0
                 ids.append(key)
                 texts.append(data)
                 size += len(data)
         if texts:
+            index_block()
+        if found:
             yield sorted_chunk()
 
     return run
@@ -256,21 +304,27 @@ def _compared(group: pa.Table) -> pa.Table:
     # by fingerprint, then old before new, then by place
     order = np.lexsort((pos, doc, new, key))
     key, new, doc, pos, before, after, around = (a[order] for a in (key, new, doc, pos, before, after, around))
-    sums = []
-    for family in (0, 1):
-        s = np.zeros((len(around), LEFT + LENGTH + 1), np.uint64)
-        np.cumsum(_LETTERS[family][around] * _powers(_BASES[family], LEFT + LENGTH)[None, :], axis=1, dtype=np.uint64, out=s[:, 1:])
-        sums.append(s)
+    letters = [_LETTERS[family] for family in (0, 1)]
+    back = [_U(pow(base, -1, 2**64)) for base in _BASES]
+    top = [_U(pow(base, LENGTH - 1, 2**64)) for base in _BASES]
+    prints = [np.zeros(len(around), np.uint64) for _ in _BASES]
+    for family, base in enumerate(_BASES):  # of the first string, from its last byte to its first
+        for c in range(LENGTH - 1, -1, -1):
+            prints[family] = prints[family] * _U(base) + letters[family][around[:, c]]
     found_doc, found_start = [], []
-    for shift in range(LEFT + 1):
+    for at in range(LEFT + 1):
+        if at:  # the next string has one byte less before, one more behind
+            for family in (0, 1):
+                h = (prints[family] - letters[family][around[:, at - 1]]) * back[family]
+                prints[family] = h + letters[family][around[:, at + LENGTH - 1]] * top[family]
+        shift = LEFT - at
         rows_in = np.flatnonzero((before >= shift) & (after >= LENGTH - shift))
         if not len(rows_in):
             continue
-        at = LEFT - shift
-        one, two = (s[rows_in, at + LENGTH] - s[rows_in, at] for s in sums)
-        k = key[rows_in]
+        one, two, k = prints[0][rows_in], prints[1][rows_in], key[rows_in]
         by = np.lexsort((rows_in, two, one, k))  # rows lie in the order of age
-        same = np.concatenate([[False], (k[by][1:] == k[by][:-1]) & (one[by][1:] == one[by][:-1]) & (two[by][1:] == two[by][:-1])])
+        k, one, two = k[by], one[by], two[by]
+        same = np.concatenate([[False], (k[1:] == k[:-1]) & (one[1:] == one[:-1]) & (two[1:] == two[:-1])])
         again = rows_in[by[same]]
         again = again[new[again] == 1]
         found_doc.append(doc[again])
@@ -361,10 +415,10 @@ def remove_repeats(df: DataFrame, batches: int = 1, key: str = "doc_id", text: s
     repeated with one id the one with the least text counts. Equality is that of 128-bit fingerprints.
     """
     docs = keyed(df, key, text)
-    ids = docs.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids")).first()
-    if ids["n"] != ids["ids"]:
+    n, ids, size = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id"), F.sum(F.octet_length("text"))).first()
+    if n != ids:
         docs = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = size or 0
     index = SuffixIndex(max(1, -(-size // RANGE_BYTES)))
     limits = docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 and size else []
     edges = [None, *sorted({int(x) for x in limits}), None]
