@@ -38,7 +38,7 @@ SYLLABLES = {
 }
 KINDS = ("email", "phone", "ip", "card", "secret", "name")
 
-_EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
+_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
 _DIGITS = re.compile(
     r"(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?![\w]|\.\d))"
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?|\d{1,4}[ .-]?)\d{2,4}(?:[ .-]?\d{2,4}){1,3}"
@@ -138,7 +138,7 @@ class _Draws:
 
 def _like(text: str, draws: _Draws) -> str:
     """Letters for letters and digits for digits; hexadecimal digits stay such where the text has no others."""
-    hexadecimal = re.fullmatch(r"[0-9a-f]{16,}", text) is not None
+    hexadecimal = re.fullmatch(r"[0-9a-f]{16,}", text) is not None and not text.isdigit()
     out = []
     for c in text:
         if hexadecimal:
