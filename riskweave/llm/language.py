@@ -31,8 +31,8 @@ def grams(texts: list[str], buckets: int) -> tuple[list[np.ndarray], np.ndarray,
 
     Other characters than letters are all one, and n-grams without a letter fall into bucket 0.
     """
-    gap = " " * max(ORDERS)  # n-grams don't cross texts
-    lowered = [t.lower() + gap for t in texts]
+    gap = " " * (max(ORDERS) - 1)  # n-grams of one text don't reach letters of the next
+    lowered = [gap + t.lower() for t in texts]
     starts = np.cumsum([0, *map(len, lowered)])[:-1]
     codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = held("letters", _letters)[codes]

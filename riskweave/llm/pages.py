@@ -142,7 +142,7 @@ def features(found: list[Block]) -> list[tuple[float, ...]]:
             for i, b in enumerate(found)]
 
 
-#: The labelled table: blocks of pages read by hand, features in the order above, then 1 for content.
+#: The labelled table, features in the order above, then 1 for content: blocks of pages without an article element ...
 LABELLED = [
     (1, 1.0, 0, 0.0, 1, 1.0, 0, 1, 0, 1, 0), (2, 1.0, 1, 1.0, 1, 1.0, 0, 1, 0, 1, 0), (3, 1.0, 2, 1.0, 9, 0.0, 0, 1, 0, 1, 0),
     (9, 0.0, 1, 1.0, 8, 0.0, 0, 1, 0, 1, 0), (24, 0.0, 3, 1.0, 10, 0.0, 0, 1, 0, 1, 0), (60, 0.0, 9, 0.0, 0, 0.0, 0, 1, 0, 1, 0),
@@ -171,11 +171,19 @@ LABELLED = [
     (40, 0.6, 3, 1.0, 20, 0.7, 0, 0, 0, 0, 0), (60, 0.7, 12, 0.8, 30, 0.9, 0, 0, 0, 0, 0),
 ]
 
+#: ... and what holds for blocks of all sizes: the article counts, all that stands around it doesn't.
+_SIZES = (1, 2, 4, 9, 20, 50, 120, 300)
+_NEAR = ((0, 0.0, 5, 0.0), (6, 1.0, 40, 0.0), (90, 0.0, 2, 0.5), (150, 0.1, 80, 0.0))
+LABELLED += [(w, d, *near, 1, 0, h, 1, 1) for w in _SIZES for d, h in ((0.0, 0), (0.0, 1), (0.3, 0), (1.0, 0)) for near in _NEAR]
+LABELLED += [(w, d, *near, m, 1, 0, p, 0) for w in _SIZES for d in (0.0, 0.3, 1.0) for m, p in ((0, 0), (0, 1), (1, 1))
+             for near in _NEAR]
+LABELLED += [(w, d, *near, 0, 0, 0, 1, 0) for w in _SIZES for d in (0.0, 0.3, 1.0) for near in _NEAR]
+
 
 def grow(rows: list[tuple[float, ...]]) -> tuple | float:
     """A decision tree: (feature, limit, tree for values up to it, tree for those above), or a leaf's share of content.
 
-    Each split takes the feature and limit with the least Gini impurity, the first of equal ones.
+    Each split takes the feature and limit with the least Gini impurity, the first of equal ones, until leaves are pure.
     """
     share = sum(r[-1] for r in rows) / len(rows)
     if share in (0.0, 1.0):
@@ -193,7 +201,7 @@ def grow(rows: list[tuple[float, ...]]) -> tuple | float:
             cost = impurity([r for r in rows if r[f] <= limit]) + impurity([r for r in rows if r[f] > limit])
             if best is None or cost < best[0] - 1e-9:
                 best = (cost, f, limit)
-    if best is None or best[0] >= impurity(rows) - 1e-9:
+    if best is None:
         return share
     _, f, limit = best
     return f, limit, grow([r for r in rows if r[f] <= limit]), grow([r for r in rows if r[f] > limit])

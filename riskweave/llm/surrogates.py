@@ -289,13 +289,15 @@ def replace_private(df: DataFrame, key: bytes, doc_key: str = "doc_id", text: st
     base = df.drop("private_kinds")
     names = base.columns
     place = names.index(text)
+    longest = "_" * (1 + max(map(len, names)))  # no column's name
+    late_name, row_name = longest + "late", longest + "row"
     held_back = "array<struct<kind:string,canonical:string,attempt:int>>"
     if late is None:
-        joined = base.select(*[F.col(f"`{c}`") for c in names], F.lit(None).cast(held_back).alias("_late"))
+        joined = base.select(*[F.col(f"`{c}`") for c in names], F.lit(None).cast(held_back).alias(late_name))
     else:
         per_row = rows.mapInArrow(_entities(True), f"row long, {_ENTITY}").join(late, ["kind", "canonical"]).groupBy("row").agg(
-            F.collect_set(F.struct("kind", "canonical", "attempt")).alias("_late")).withColumnRenamed("row", "_row")
-        joined = base.withColumn("_row", F.xxhash64(doc_key)).join(per_row, "_row", "left").drop("_row")
+            F.collect_set(F.struct("kind", "canonical", "attempt")).alias(late_name)).withColumnRenamed("row", row_name)
+        joined = base.withColumn(row_name, F.xxhash64(doc_key)).join(per_row, row_name, "left").drop(row_name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict = {}

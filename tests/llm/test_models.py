@@ -1,0 +1,210 @@
+"""Language, extraction, search, toxicity, surrogates and the pipeline."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from riskweave.llm import language, pages, surrogates, topk, toxicity
+from riskweave.llm.packing import tokenizer_json
+from riskweave.session import materialize
+
+MID = "/root/testdata/sf0.01"
+
+
+def test_language_on_held_out_rows(spark):
+    found = language.op6_language_id(spark, MID).join(
+        spark.read.parquet(f"{MID}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in found if r.held_out]
+    assert len(held) > 150 and np.mean([r.lang == r.lang_pred for r in held]) > 0.98
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_language_scores_equal_a_plain_sum():
+    draw = random.Random(2)
+    texts = ["".join(draw.choice("abc äß.1 ") for _ in range(draw.randint(0, 40))) for _ in range(50)]
+    logs = np.random.default_rng(1).normal(size=(3, 64, 2)).astype(np.float32)
+    logs[:, 0] = 0
+    model = language.LanguageModel(["x", "y"], logs, np.log([0.5, 0.5]))
+    for text, name in zip(texts, model.predict(texts)[0]):
+        places, _, has = language.grams([text], 64)
+        total = sum(logs[k][p].astype(float).sum(axis=0) for k, p in enumerate(places))
+        assert name == (["x", "y"][int(total.argmax())] if has[0] else "und")
+
+
+def test_language_of_odd_rows(spark):
+    rows = [(1, "der die das", "de", "x"), (2, "the of and", "en", "x"), (3, None, "en", "x"), (4, "", None, "x"), (5, "12 .", "de", "x"),
+            (6, "the " * 50_000, None, "x"), (2, "the of and", "en", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
+    model = language.fit_language(docs)
+    found = sorted((r.doc_id, r.lang_pred) for r in language.identify(docs, model).collect())
+    assert found == [(1, "de"), (2, "en"), (2, "en"), (3, "und"), (4, "und"), (5, "und"), (6, "en")]
+    none = language.fit_language(docs.limit(0))
+    assert {r.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
+    assert language.identify(docs.limit(0), model).count() == 0
+
+
+PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var t="</p>";</script></head><body>
+<header><a href=/>Home</a></header><nav><ul><li><a href="/a">A</a><li><a href="/b">B</a></ul></nav>
+<div class="cookie-notice">We use cookies.</div><main><article class='post'><h1>Title &amp; more</h1>
+<p>First <b>bold</b>  text<br>goes on.<p>Second &lt;one&gt; caf&eacute; &#8364;5<!-- no --> <a href=x>link</a> end
+<div class="share-buttons"><a>Share</a></div><form><input>Mail <button>Go</button></form><p>x</p>
+<aside>Aside</aside></article><section id="comments"><article><p>A reader writes a long comment here.</p></article></section></main>
+<footer>&copy; us</footer>"""
+
+
+def test_extraction():
+    tree = pages.grow([tuple(map(float, r)) for r in pages.LABELLED])
+    assert all(pages.is_content(tree, r) == bool(r[-1]) for r in pages.LABELLED)
+    assert pages.main_text(PAGE, tree) == "Title & more\n\nFirst bold text goes on.\n\nSecond <one> café €5 link end\n\nx"
+    plain = "<body><div><a>Home</a></div><p>" + "word " * 60 + "</p><p>" + "more " * 50 + "</p><div><a>Next</a></div>"
+    assert pages.main_text(plain, tree) == ("word " * 60).strip() + "\n\n" + ("more " * 50).strip()
+    for broken in ["", "<", "<p", "</p></p>", "<!-- x", "<script>x", "<a href='", "&am", "<p class=\"x" * 200]:
+        assert isinstance(pages.main_text(broken, tree), str)
+
+
+def test_extraction_of_odd_rows(spark):
+    rows = [(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "<article>" + "<p>a b</p>" * 20_000, "x"), (3, "u", "<nav>x", "x")]
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
+    assert sorted((r.page_id, r.n_chars) for r in found.collect()) == [(1, 0), (2, 0), (3, 0), (3, 5 * 20_000 - 2)]
+    assert pages.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_tree_needs_several_splits():
+    rows = [(a, b, float(a != b)) for a in (0.0, 1.0) for b in (0.0, 1.0)] * 3 + [(0.0, 2.0, 1.0)]
+    tree = pages.grow(rows)
+    assert all(pages.is_content(tree, r) == bool(r[-1]) for r in rows)
+
+
+def _best(rows, k, queries):
+    usable = {i: v for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    out = set()
+    for q in queries & usable.keys():
+        a = [int(np.floor(1024.0 * x)) for x in usable[q]]
+        scored = sorted((-sum(x * int(np.floor(1024.0 * y)) for x, y in zip(a, v)), i) for i, v in usable.items()
+                        if i != q and len(v) == len(a))
+        out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])}
+    return out
+
+
+@pytest.mark.parametrize("k,shard,block", [(3, 5, 2), (10, 4096, 4096)])
+def test_search(spark, k, shard, block):
+    draw = random.Random(8)
+    rows = [(i, [draw.choice([0.0, 0.5, -1.25, 3.001]) for _ in range(4)]) for i in range(60)]
+    rows += [(60, None), (61, [1.0, None, 0.0, 0.0]), (62, [float("nan")] * 4), (63, [float("inf")] * 4), (64, [1.0]), (65, [2.0]),
+             (66, []), (70, [2e6, -2e6, 1e6, 3.0]), (71, [1e3, 7.0, 1e3, 3.0])]
+    frame = spark.createDataFrame([(*r, 0, "x") for r in rows], "vec_id long, embedding array<double>, shard int, score string")
+    found = topk.top_k(frame.repartition(4), F.col("vec_id") % 10 < 5, k, shard_rows=shard, block_rows=block, fan_in=2)
+    assert {tuple(r) for r in found.collect()} == _best(rows, k, {i for i, _ in rows if i % 10 < 5})
+    assert topk.top_k(frame.limit(0), F.lit(True)).count() == 0
+
+
+def test_segments_equal_the_recursive_definition():
+    def recursive(s, a, b):
+        best = None
+        for i in range(a, b):
+            total = 0
+            for j in range(i, b):
+                total += s[j]
+                if total > 0 and (best is None or total > best[0] + 1e-9):
+                    best = (total, i, j + 1)
+        return recursive(s, a, best[1]) + [best] + recursive(s, best[2], b) if best else []
+
+    draw = random.Random(1)
+    for _ in range(150):
+        s = [draw.choice([-3, -2, -1, 1, 2, 5]) + draw.random() / 1000 for _ in range(draw.randint(0, 12))]
+        assert [(round(x, 6), i, j) for x, i, j in toxicity.segments(s)] == [
+            (round(x, 6), i, j) for x, i, j in recursive(s, 0, len(s))]
+
+
+def test_toxicity_on_held_out_rows(spark):
+    found = toxicity.op9_toxicity(spark, "/root/testdata/sf0.1").join(
+        spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").filter("held_out").collect()
+    assert np.mean([r.predicted == r.toxic for r in found]) > 0.97
+    said = [r for r in found if r.predicted]
+    assert np.mean([r.toxic for r in said]) > 0.9 and len(said) > 0.8 * sum(r.toxic for r in found)
+
+
+def test_toxicity_of_odd_rows(spark):
+    rows = [(i, ("vile horrid words " if i % 4 == 0 else "") + f"plain text number{i} of some length", "x") for i in range(200)]
+    rows += [(900, None, "x"), (901, "", "x"), (902, "plain " * 50_000, "x"), (903, "vile horrid words", "x"), (903, "vile horrid words", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0), "x") for i in range(200)] + [(5, None, "x")], "doc_id long, toxic int, text string")
+    model = toxicity.fit_toxicity(docs, labels)
+    scores = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, model).collect()}
+    assert scores[903] > 0.5 > max(scores[900], scores[901], scores[902])
+    assert sorted(r.doc_id for r in toxicity.reject_toxic(docs, model).collect() if r.doc_id >= 900) == [900, 901, 902]
+    for some in (labels.limit(0), labels.filter("toxic = 1")):
+        one_sided = toxicity.fit_toxicity(docs, some)
+        assert {0 <= r.score <= 1 for r in toxicity.score_toxicity(docs, one_sided).collect()} == {True}
+    assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
+
+
+TEXT = ("Mr. John Smith wrote to Frau Müller; MR. SMITH has +1 (499) 555-6503, card 4111 1111 1111 1111, a.b@mail.org, "
+        "10.1.2.3 and token = \"7c72db563d7f6e50cec00950f7bab1f2223b6afd\".")
+
+
+def test_surrogates_keep_kind_and_format():
+    new, kinds = surrogates.replaced(TEXT, b"k", {}, {})
+    assert kinds == ["name", "name", "name", "name", "phone", "card", "email", "ip", "secret"]
+    assert [e[2] for e in surrogates.detect(new)] == kinds
+    for part in ("Smith", "SMITH", "John", "Müller", "4111 1111", "555-6503", "a.b@mail.org", "10.1.2.3", "7c72db56"):
+        assert part not in new
+    words = new.split()
+    assert words[2].upper() == words[8]  # one person, both times
+    again, _ = surrogates.replaced(TEXT, b"other key", {}, {})
+    assert again != new
+    assert surrogates.replaced("г-жа Анна Иванова", b"k", {}, {})[0].split()[1][-1] == "а"
+
+
+def test_what_is_no_personal_data_stays():
+    for text in ["Version 2.0.", "300.1.1.1", "card 4111 1111 1111 1112", "1.2.3.4.5", "2023-10-11 12:30", "the mister said", "", "@"]:
+        assert surrogates.replaced(text, b"k", {}, {}) == (text, [])
+
+
+def test_clashing_surrogates_are_drawn_again(spark, monkeypatch):
+    """With numbers that clash on purpose, distinct entities still end distinct, alike in all documents."""
+    def narrow(key):
+        def run(batches):
+            import pyarrow as pa
+
+            for b in batches:
+                made = [f"{(len(c) * 7 + ord(c[-1]) + 13 * a) % 30}" for c, a in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made)], ["kind", "canonical", "attempt", "made"])
+
+        return run
+
+    entities = spark.createDataFrame([("ip", f"{i}") for i in range(12)] + [("email", "3")], "kind string, canonical string")
+    late = {(r.kind, r.canonical): r.attempt for r in surrogates.settle(entities, b"k", narrow, rounds=60).collect()}
+    made = {}
+    for kind, c in [("ip", f"{i}") for i in range(12)] + [("email", "3")]:
+        made[kind, c] = f"{(len(c) * 7 + ord(c[-1]) + 13 * late.get((kind, c), 0)) % 30}"
+    assert len({(k, v) for (k, _), v in made.items()}) == 13
+    assert not {("ip", v) for (k, _), v in made.items() if k == "ip"} & made.keys()
+
+
+def test_surrogates_of_odd_rows(spark):
+    rows = [(1, TEXT, "x", 1), (2, None, "y", 2), (3, "", "z", 3), (4, "no data " * 50_000, "x", 4), (1, TEXT, "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string, _late int")
+    found = surrogates.replace_private(docs, b"k").collect()
+    by = {r.doc_id: r for r in found}
+    assert len(found) == 5 and by[2].text is None and by[3].text == "" and by[4].text == rows[3][1] and by[2].row == "y"
+    assert by[1].text == surrogates.replaced(TEXT, b"k", {}, {})[0] and len(by[1].private_kinds) == 9
+    assert surrogates.replace_private(docs.limit(0), b"k").count() == 0
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{MID}/documents.parquet")
+    columns, seen = docs.columns, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, MID), name)
+        assert docs.columns == columns
+        seen.append(docs.count())
+    assert seen[0] > seen[1] > seen[2] > seen[3] == seen[4] > 800
+    assert docs.filter(F.length("text") != F.col("n_chars")).count() == 0
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, MID)
+    assert packed.select("doc_id").distinct().count() == seen[4] and tokenizer_json()
