@@ -59,8 +59,13 @@ class Memo(dict):
 
 
 def held(key, make):
-    """One object per Python worker, kept from task to task; globals of this package come anew with each task."""
-    kept = sys.modules.setdefault("_riskweave_held", types.ModuleType("_riskweave_held")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    """One object per Python worker, kept from task to task; globals of this package come anew with each task.
+
+    Only the two objects used last are kept, so the caches of one operator don't stay in memory under the next.
+    """
+    kept = sys.modules.setdefault("_riskweave_held", types.ModuleType("_riskweave_held")).__dict__.setdefault("kept", {})
+    found = kept.pop(key) if key in kept else make()
+    while len(kept) > 1:
+        del kept[next(iter(kept))]
+    kept[key] = found
+    return found

@@ -65,7 +65,7 @@ def least_agreements(terms: Terms) -> list[int]:
 
 
 def _word_hashes() -> Memo:
-    return Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8")))
+    return Memo(lambda w: xxhash.xxh3_64_intdigest(w.encode("utf-8")), limit=500_000)
 
 
 def shingles(text: str, n: int, memo: Memo) -> np.ndarray:

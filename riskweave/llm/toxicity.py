@@ -63,6 +63,11 @@ def segments(scores: list[float]) -> list[tuple[float, int, int]]:
     return [(r - l, a, b) for l, r, a, b in found]
 
 
+def _word_score(odds: dict[str, float], drift: float, word: str) -> float:
+    """The odds of the word or its longest known beginning, less the drift."""
+    return next((odds[f] for f in reversed(features(word)) if f in odds), 0.0) - drift
+
+
 @dataclass
 class ToxicModel:
     """Log-odds of words and their beginnings, the drift, and the laws fitted to segments."""
@@ -75,15 +80,12 @@ class ToxicModel:
     memo: Memo = field(init=False, repr=False, compare=False)
 
     def __post_init__(self):
-        self.memo = Memo(self.word_score)
+        odds, drift = self.odds, self.drift  # no way back to the model, so both go with its last use
+        self.memo = Memo(lambda word: _word_score(odds, drift, word), limit=300_000)
 
     def __reduce__(self):
         return ToxicModel, (self.odds, self.drift, self.scale, self.place, self.weights)
 
-    def word_score(self, word: str) -> float:
-        known = next((self.odds[f] for f in reversed(features(word)) if f in self.odds), 0.0)
-        return known - self.drift
-
     def passages(self, text: str) -> tuple[int, list[tuple[float, int, int]]]:
         """Number of words, and the segments by word numbers."""
         found = words(text)
