@@ -9,6 +9,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of text that a Python task gets at once.
+BATCH_ROWS = 1000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """Have the session send texts to Python in smaller batches than its default of 10,000 rows, so that two tasks of an
+    executor hold megabytes of them, not hundreds."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -19,7 +33,7 @@ def text_or_empty(column: str) -> Column:
 
 def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
     """Only the key and the text, a missing text as the empty one; other columns never meet those of an operator."""
-    return df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
+    return bounded(df).select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
 
 
 #: Ids of so many documents at most are sent to all executors; more are joined by a shuffle.
@@ -45,7 +59,7 @@ def crc_of(key: str) -> Column:
 class Memo(dict):
     """A cache of ``make(key)`` that starts anew at ``limit`` entries and doesn't keep long keys."""
 
-    def __init__(self, make, limit: int = 1_000_000, longest: int = 48):
+    def __init__(self, make, limit: int = 600_000, longest: int = 48):
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
 

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import crc_of, keyed, only_ids, table, text_or_empty, without_ids
+from riskweave.llm.common import bounded, crc_of, keyed, only_ids, table, text_or_empty, without_ids
 from riskweave.llm.fuse import FuseFilter
 from riskweave.session import materialize
 
@@ -97,7 +97,7 @@ def exact_duplicates(df: DataFrame, batch: Column, batches: int, key: str = "doc
     are documents of their own. No rows give no rows.
     """
     docs = keyed(df, key, text)
-    rows = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"),
+    rows = bounded(df).select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"),
                      batch.cast("int").alias("batch"))
     rows = rows.mapInArrow(_digests(False), "doc_id long, batch int, sha binary, check long, n_bytes long")
     rows = materialize(rows.groupBy("doc_id", *DIGEST).agg(F.min("batch").alias("batch")), "digests")

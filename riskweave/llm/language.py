@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import crc_of, held, keyed, table
+from riskweave.llm.common import bounded, crc_of, held, keyed, table
 
 ORDERS = (1, 2, 3)
 #: Characters that are scored at once.
@@ -120,7 +120,7 @@ def fit_language(df: DataFrame, text: str = "text", lang: str = "lang", key: str
 
     The most frequent 200 languages of the sample are learned, which bounds the matrix. Without rows the model knows none.
     """
-    known = df.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+    known = bounded(df).filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), F.xxhash64(key).alias("draw"))
     n = known.count()
     if n > sample:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import table, text_or_empty
+from riskweave.llm.common import bounded, table, text_or_empty
 
 # Names of elements, and words in class, id and role that mark what isn't the article.
 SKIPPED = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "object", "canvas",
@@ -231,7 +231,7 @@ def extract(df: DataFrame, labelled: list[tuple[float, ...]] = LABELLED, key: st
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
 
-    taken = df.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
+    taken = bounded(df).select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
                       text_or_empty(page).alias("html"))
     return taken.mapInArrow(run, "page_id long, url string, text string, n_chars long")
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskweave.llm.common import table, text_or_empty
+from riskweave.llm.common import bounded, table, text_or_empty
 from riskweave.session import materialize
 
 # Forms of address and the gender they show, common given names, syllables.
@@ -283,7 +283,7 @@ def replace_private(df: DataFrame, key: bytes, doc_key: str = "doc_id", text: st
     All other columns, of whatever name, stay as they are; null texts stay null, and rows may repeat. A column named
     ``private_kinds`` is replaced. The key is secret: with another one all surrogates change.
     """
-    rows = df.select(F.xxhash64(doc_key).alias("row"), text_or_empty(text).alias("text"))
+    rows = bounded(df).select(F.xxhash64(doc_key).alias("row"), text_or_empty(text).alias("text"))
     entities = rows.mapInArrow(_entities(False), f"row long, {_ENTITY}").select("kind", "canonical").distinct()
     late = settle(entities, key, make)
     base = df.drop("private_kinds")

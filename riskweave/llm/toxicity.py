@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import Memo, crc_of, keyed, table
+from riskweave.llm.common import Memo, bounded, crc_of, keyed, table
 
 WORD = re.compile(r"\w+")
 #: Lengths of the beginnings that words share a prior by.
@@ -260,7 +260,7 @@ def reject_toxic(df: DataFrame, model: ToxicModel, text: str = "text", threshold
             scores = [model.probability(*model.passages(v.as_py() or "")) for v in batch.column(place)]
             yield batch.filter(pa.array([s < threshold for s in scores], pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return bounded(df).mapInArrow(run, df.schema)
 
 
 def trained(spark: SparkSession, sf_dir: str) -> ToxicModel:
