@@ -45,7 +45,7 @@ class PieceCodec:
         self.byte_ids = [0] * 256
         self.surface: list[str | None] = []
         self.byte_of: dict[int, int] = {}
-        self.end_id = -1
+        self.end_id = self.unknown_id = -1
         for i, p in enumerate(proto.pieces):
             if p.type == _BYTE:
                 self.byte_of[i] = int(p.piece[3:5], 16)
@@ -54,6 +54,7 @@ class PieceCodec:
                 self.surface.append(chr(self.byte_of[i]) if self.byte_of[i] < 128 else None)
             elif p.type == _UNKNOWN:
                 self.surface.append(proto.trainer_spec.unk_surface)
+                self.unknown_id = i
             elif p.type == _CONTROL:
                 self.surface.append("")
                 if p.piece == proto.trainer_spec.eos_piece:
@@ -214,7 +215,7 @@ class PieceCodec:
 
     def _starts_with_space(self, ids: list[int]) -> bool:
         first = next((i for i in ids if self.surface[i] != ""), None)
-        return first is not None and first not in self.byte_of
+        return first is not None and first not in self.byte_of and first != self.unknown_id
 
     def _decode_bytes(self, ids: list[int]) -> str:
         out: list[str] = []
