@@ -69,9 +69,11 @@ def test_query_equals_the_library(spark, tables, library):
         assert found[key].decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
 
 
+TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def _ids(text):
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    return [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    return [*TOKENIZER.encode(text, add_special_tokens=False).ids, 1]
 
 
 def test_words_equal_the_tokenizer():
@@ -115,7 +117,7 @@ def test_packing_over_several_rounds(spark, tables):
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     rows = packing.pack(docs, packing.tokenizer_json(), size=700, slack=2, block=40).collect()
     n = _valid(rows, texts, 700)
-    assert n <= 1.03 * sum(r.length for r in rows) / 700
+    assert n <= 1.05 * sum(r.length for r in rows) / 700
 
 
 def test_packing_of_odd_rows(spark):
