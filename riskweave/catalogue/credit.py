@@ -174,7 +174,8 @@ def h9_woe_transform(spark, sf):
 
 def c2_bin_lookup(spark, sf):
     docs = scored_documents(spark, sf)
-    bins = materialize(woe.woe_categorical(docs.where("toxic = 0"), "source", "quality"), "bins")
+    train, _ = stable_split(docs, "doc_id")
+    bins = materialize(woe.woe_categorical(train, "source", "quality"), "bins")
     coded = woe.woe_transform(docs, bins, [], ["source"])
     return rounded(coded.select("doc_id", "source_woe"), "source_woe")
 
@@ -252,12 +253,12 @@ def k4_group_contributions(spark, sf):
 
 
 def k5_reason_codes(spark, sf):
-    codes = rs.reason_codes(_zscores(spark, sf), "SK_ID_CURR", REASON_GROUPS, top_n=2)
+    codes = rs.reason_codes(_zscores(spark, sf), "SK_ID_CURR", REASON_GROUPS)
     return rounded(codes, "contribution")
 
 
 def k6_notices(spark, sf):
-    return rs.notices(_zscores(spark, sf), "SK_ID_CURR", groups=REASON_GROUPS, top_n=2)
+    return rs.notices(_zscores(spark, sf), "SK_ID_CURR", groups=REASON_GROUPS)
 
 
 QUERIES = {
@@ -379,7 +380,7 @@ ORACLES = {
                WHEN iv < 0.5 THEN 'strong' ELSE 'suspiciously strong' END AS strength FROM iv""",
     "h9_woe_transform": f"""{_LINE_CODED} SELECT l_orderkey, l_linenumber, l_suppkey, {", ".join(
         f"round({c}_woe, 6) AS {c}_woe" for c in (*LINE_NUMBERS, "l_linestatus"))} FROM coded""",
-    "c2_bin_lookup": f"""{_DOCS}, known AS (SELECT * FROM docs WHERE toxic = 0),
+    "c2_bin_lookup": f"""{_DOCS}, known AS (SELECT * FROM docs WHERE NOT {sql.is_test('doc_id')}),
         {sql.woe_ctes('known', 'quality', [], ['source'])}
         SELECT doc_id, round(coalesce(woe, 0.0), 6) AS source_woe FROM docs LEFT JOIN woe_rows ON docs.source = category""",
     "q5_monotone_share": f"""{_LINES} {sql.woe_ctes('lines', 'returned', LINE_NUMBERS, [])},
@@ -399,12 +400,12 @@ ORACLES = {
         {", ".join(f"round(-({c}_woe - avg({c}_woe) OVER ()), 6) AS {c}" for c in LINE_NUMBERS)} FROM coded""",
     "k4_group_contributions": f'{_GROUPED} SELECT SK_ID_CURR, "group", round(contribution, 6) AS contribution FROM g',
     "k5_reason_codes": f"""{_REASONS} SELECT SK_ID_CURR, rank, "group", reason, round(contribution, 6) AS contribution
-        FROM ranked WHERE rank <= 2""",
+        FROM ranked WHERE rank <= 4""",
     "k6_notices": f"""{_REASONS}, listed AS (
             SELECT SK_ID_CURR, string_agg('  ' || rank || '. ' || reason, chr(10) ORDER BY rank) AS lines
-            FROM ranked WHERE rank <= 2 GROUP BY 1)
-        SELECT SK_ID_CURR, array_to_string(['Notice of action taken on your application', 'Reference: ' || SK_ID_CURR,
-            'Decision: denied', 'Main reasons:', coalesce(lines, '  No single factor raised the assessed risk.'),
-            'The reasons above are those that raised the assessed risk most, in order.'], chr(10)) AS notice
+            FROM ranked WHERE rank <= 4 GROUP BY 1)
+        SELECT SK_ID_CURR, array_to_string(['Decision on a credit application', 'Reference: ' || SK_ID_CURR,
+            'Decision: denied', 'Reasons:', coalesce(lines, '  (no group has a positive contribution)'),
+            'Listed by contribution to the score, largest first.'], chr(10)) AS notice
         FROM applicants LEFT JOIN listed USING (SK_ID_CURR)""",
 }

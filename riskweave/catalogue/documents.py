@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskweave.catalogue import sql
-from riskweave.catalogue.inputs import corpus, first_turns, gold_sources, passages, rounded, table
+from riskweave.catalogue.inputs import corpus, user_turns, gold_sources, passages, rounded, table, turn_key
 from riskweave.functions.text import tokens
 from riskweave.operators import answering as an
 from riskweave.operators import chunking as ck
@@ -80,11 +80,11 @@ def c4_best_token_match(spark, sf):
 
 
 def r4_vector_retrieval(spark, sf):
-    return _hits_out(rt.top_k_sparse(_asked(first_turns(spark, sf)), _docs(spark, sf), order=ORDER, payload=["source"]))
+    return _hits_out(rt.top_k_sparse(_asked(user_turns(spark, sf)), _docs(spark, sf), order=ORDER, payload=["source"]))
 
 
 def r6_lexical_retrieval(spark, sf):
-    return _hits_out(rt.top_k_lexical(_asked(first_turns(spark, sf)), _docs(spark, sf), order=ORDER, payload=["source"]))
+    return _hits_out(rt.top_k_lexical(_asked(user_turns(spark, sf)), _docs(spark, sf), order=ORDER, payload=["source"]))
 
 
 def e7_top_k_chunks(spark, sf):
@@ -106,7 +106,7 @@ def r5_dense_retrieval(spark, sf):
 
 # --------------------------------------------------------------------------- corrective answering
 def _turn_hits(spark, sf):
-    asked = first_turns(spark, sf)
+    asked = user_turns(spark, sf)
     return rt.top_k_sparse(_asked(asked), _chunks(spark, sf)).join(asked, "query_id")
 
 
@@ -123,20 +123,20 @@ def r8_extract_answers(spark, sf):
 
 
 def r9_groundedness(spark, sf):
-    """Answers supplied from elsewhere: the first reply of each conversation against the kept chunks."""
-    replies = table(spark, sf, "conversations").where("role = 'assistant'").groupBy(
-        F.col("conv_id").alias("query_id")).agg(F.min_by("text", "turn").alias("answer"))
+    """Answers supplied from elsewhere: every reply, against the chunks kept for the turn before it."""
+    replies = table(spark, sf, "conversations").where("role = 'assistant'").select(
+        turn_key(F.col("conv_id"), F.col("turn") - 1).alias("query_id"), F.col("text").alias("answer"))
     graded = an.grade_answers(replies, _turn_kept(spark, sf))
     return rounded(graded.select("query_id", "support", "grounded"), "support")
 
 
 def r10_rewrite(spark, sf):
-    return an.rewrite(first_turns(spark, sf)).select("query_id", "query")
+    return an.rewrite(user_turns(spark, sf)).select("query_id", "query")
 
 
 def _answers(spark, sf):
     chunks = materialize(_chunks(spark, sf), "chunks")
-    return an.answer_questions(first_turns(spark, sf), chunks)
+    return an.answer_questions(user_turns(spark, sf), chunks)
 
 
 def r11_corrective_answers(spark, sf):
@@ -202,8 +202,8 @@ QUERIES = {f.__name__: f for f in (
 # --------------------------------------------------------------------------- comparison SQL
 _CHUNKS = f"WITH RECURSIVE {sql.chunks()}"
 _HITS_OUT = "query_id, rank, round(score, 6) AS score, source FROM hits"
-_TURN_HITS = f"{_CHUNKS}, {sql.FIRST_TURNS}, {sql.sparse_hits('first_turns', 'question')}"
-_TURNS = f"{_TURN_HITS}, {sql.attempt('first_turns', 'hits', 'one')}"
+_TURN_HITS = f"{_CHUNKS}, {sql.USER_TURNS}, {sql.sparse_hits('user_turns', 'question')}"
+_TURNS = f"{_TURN_HITS}, {sql.attempt('user_turns', 'hits', 'one')}"
 _PASSAGE_HITS = f"{_CHUNKS}, {sql.PASSAGES}, {sql.GOLD}, {sql.sparse_hits('passages', 'question')}"
 _FIRST_RANK = f"""{_PASSAGE_HITS}, first_rank AS (
     SELECT g.query_id, min(rank) AS first_rank FROM gold g LEFT JOIN hits h
@@ -213,7 +213,7 @@ _TRACE = """'retrieve 1 > ' || CASE WHEN weak THEN 'weak' ELSE 'relevant ' || n_
 _LOOP = f"""{_TURNS},
     passed AS (SELECT *, NOT weak AND grounded AS done, {_TRACE} AS trace FROM one),
     again AS (SELECT query_id, question, question || ' policy requirement rule disclosure' AS query
-              FROM first_turns JOIN passed USING (query_id) WHERE NOT done),
+              FROM user_turns JOIN passed USING (query_id) WHERE NOT done),
     {sql.sparse_hits('again', 'query', 'more')}, {sql.attempt('again', 'more', 'two')},
     passed2 AS (SELECT two.*, NOT two.weak AND two.grounded AS done, passed.trace || ' > rewrite > '
                        || replace({_TRACE.replace('weak', 'two.weak').replace("'two.weak'", "'weak'")
@@ -226,7 +226,7 @@ _LOOP = f"""{_TURNS},
     final AS (
         SELECT query_id, answer, 1 AS attempts, true AS grounded, sources, trace FROM passed WHERE done
         UNION ALL
-        SELECT query_id, CASE WHEN done THEN answer ELSE 'No sufficiently grounded answer was found in 3 attempt(s).' END,
+        SELECT query_id, CASE WHEN done THEN answer ELSE 'ungrounded after 3 attempts' END,
                CASE WHEN done THEN 2 ELSE 3 END, done, sources,
                CASE WHEN done THEN trace ELSE trace || ' > rewrite > ' || third || ' > give up' END FROM passed2)"""
 
@@ -251,10 +251,10 @@ ORACLES = {
         {sql.sparse_hits('passages', 'question', k=1)} SELECT {_HITS_OUT}""",
     "c4_best_token_match": f"""WITH {sql.WHOLE_DOCUMENTS}, {sql.PASSAGES},
         {sql.lexical_hits('passages', 'question', k=1)} SELECT {_HITS_OUT}""",
-    "r4_vector_retrieval": f"""WITH {sql.WHOLE_DOCUMENTS}, {sql.FIRST_TURNS},
-        {sql.sparse_hits('first_turns', 'question')} SELECT {_HITS_OUT}""",
-    "r6_lexical_retrieval": f"""WITH {sql.WHOLE_DOCUMENTS}, {sql.FIRST_TURNS},
-        {sql.lexical_hits('first_turns', 'question')} SELECT {_HITS_OUT}""",
+    "r4_vector_retrieval": f"""WITH {sql.WHOLE_DOCUMENTS}, {sql.USER_TURNS},
+        {sql.sparse_hits('user_turns', 'question')} SELECT {_HITS_OUT}""",
+    "r6_lexical_retrieval": f"""WITH {sql.WHOLE_DOCUMENTS}, {sql.USER_TURNS},
+        {sql.lexical_hits('user_turns', 'question')} SELECT {_HITS_OUT}""",
     "e7_top_k_chunks": f"""{_CHUNKS}, {sql.PASSAGES}, {sql.sparse_hits('passages', 'question')}
         SELECT query_id, rank, round(score, 6) AS score, id FROM hits""",
     "r5_dense_retrieval": """
@@ -270,7 +270,7 @@ ORACLES = {
     "r7_grade_hits": f"{_TURNS} SELECT query_id, rank, id, CAST(overlap AS INTEGER) AS overlap, weak FROM one_kept",
     "r8_extract_answers": f"{_TURNS} SELECT query_id, answer FROM one",
     "r9_groundedness": f"""{_TURNS}, replies AS (
-            SELECT conv_id AS query_id, arg_min(text, turn) AS answer FROM conversations WHERE role = 'assistant' GROUP BY 1),
+            SELECT conv_id * 1000000 + turn - 1 AS query_id, text AS answer FROM conversations WHERE role = 'assistant'),
         supported AS (
             SELECT r.query_id, r.answer, CASE WHEN len({sql.tokens('r.answer')}) = 0 THEN 0.0
                 ELSE len(list_intersect({sql.tokens('r.answer')}, coalesce(words, CAST([] AS VARCHAR[]))))
@@ -278,8 +278,8 @@ ORACLES = {
             FROM replies r LEFT JOIN one_context USING (query_id))
         SELECT query_id, round(support, 6) AS support,
                support >= 0.5 AND NOT contains(lower(answer), 'cannot find') AS grounded FROM supported""",
-    "r10_rewrite": f"""WITH {sql.FIRST_TURNS}
-        SELECT query_id, question || ' policy requirement rule disclosure' AS query FROM first_turns""",
+    "r10_rewrite": f"""WITH {sql.USER_TURNS}
+        SELECT query_id, question || ' policy requirement rule disclosure' AS query FROM user_turns""",
     "r11_corrective_answers": f"{_LOOP} SELECT query_id, answer, attempts, grounded, sources, trace FROM final",
     "r14_grounded_share": f"{_LOOP} SELECT round(avg(CASE WHEN grounded THEN 1.0 ELSE 0.0 END), 6) AS value FROM final",
     "c5_gold_membership": f"{_FIRST_RANK} SELECT query_id, first_rank IS NOT NULL AS found FROM first_rank",

@@ -29,12 +29,11 @@ def days(date: Column, since: str) -> Column:
 
 # --------------------------------------------------------------------------- credit tables
 def applicants(spark: SparkSession, sf: str) -> DataFrame:
-    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderdate"))
     orders = table(spark, sf, "orders").groupBy("o_custkey").agg(
         F.max("o_totalprice").alias("AMT_CREDIT"),
         F.avg("o_totalprice").alias("AMT_ANNUITY"),
         days(F.min("o_orderdate"), "2001-08-02").alias("DAYS_BIRTH"),
-        days(F.min(urgent), "2001-01-01").alias("DAYS_EMPLOYED"),
+        days(F.min("o_orderdate"), "2001-01-01").alias("DAYS_EMPLOYED"),
     )
     customer = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("SK_ID_CURR"),
@@ -60,7 +59,7 @@ def history(spark: SparkSession, sf: str) -> DataFrame:
 
 def prior(spark: SparkSession, sf: str) -> DataFrame:
     status = F.col("o_orderstatus")
-    return table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(
+    return table(spark, sf, "orders").select(
         F.col("o_custkey").alias("SK_ID_CURR"),
         F.col("o_orderkey").alias("SK_ID_PREV"),
         F.when(status == "F", "Refused").when(status == "O", "Approved").alias("NAME_CONTRACT_STATUS"),
@@ -130,11 +129,15 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.col("doc_id").cast("string").alias("source"), "text")
 
 
-def first_turns(spark: SparkSession, sf: str) -> DataFrame:
-    """First user turn of each conversation: ``query_id, question``."""
-    return table(spark, sf, "conversations").where("role = 'user'").groupBy(F.col("conv_id").alias("query_id")).agg(
-        F.min_by("text", "turn").alias("question")
-    )
+def turn_key(conversation: Column, turn: Column) -> Column:
+    """One number for a turn of a conversation."""
+    return conversation * 1_000_000 + turn
+
+
+def user_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user turn: ``query_id, question``."""
+    return table(spark, sf, "conversations").where("role = 'user'").select(
+        turn_key(F.col("conv_id"), F.col("turn")).alias("query_id"), F.col("text").alias("question"))
 
 
 def passages(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,18 +152,24 @@ def gold_sources(spark: SparkSession, sf: str) -> DataFrame:
 
     The second to seventh token of a passage are whole tokens wherever it occurs,
     so documents and passages meet in an equi-join on such runs of tokens, and only
-    those pairs are compared as text.
+    those pairs are compared as text. Passages of fewer than eight tokens meet on their
+    second token; those of one or two hold no token that is surely whole, and are not looked for.
     """
     asked = passages(spark, sf)
     anchors = asked.withColumn("_t", tokens("question")).select(
-        "query_id", "question",
-        F.when(F.size("_t") > SHINGLE + 1, F.array_join(F.slice("_t", 2, SHINGLE), " "))
-        .otherwise(F.raise_error(F.lit("passage too short for a whole-token run"))).alias("anchor"),
+        "query_id", "question", F.array_join(F.slice("_t", 2, SHINGLE), " ").alias("anchor"),
+        F.get("_t", F.lit(1)).alias("second"), F.size("_t").alias("n"),
     )
     words = spread(corpus(spark, sf), "doc_id").withColumn("_t", tokens("text"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("_t") - SHINGLE, F.lit(0)))
     runs = F.transform(starts, lambda i: F.concat_ws(" ", *[F.get("_t", i + j) for j in range(SHINGLE)]))
     # the anchor joins doc ids only; texts come back for the matching documents
-    found = words.select("doc_id", F.explode(runs).alias("anchor")).join(anchors, "anchor").drop("anchor").distinct()
+    whole, brief = anchors.where(F.col("n") > SHINGLE + 1), anchors.where(F.col("n").between(3, SHINGLE + 1))
+    found = words.select("doc_id", F.explode(runs).alias("anchor")).join(whole.select("query_id", "question", "anchor"), "anchor")
+    found = found.drop("anchor").distinct()
+    if not brief.isEmpty():
+        by_token = words.select("doc_id", F.explode(F.array_distinct("_t")).alias("second")).join(
+            brief.select("query_id", "question", "second"), "second")
+        found = found.unionByName(by_token.drop("second"))
     pairs = found.join(corpus(spark, sf), "doc_id").where(F.contains("text", "question"))
     return pairs.select("query_id", "source")

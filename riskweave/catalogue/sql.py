@@ -6,7 +6,7 @@ APPLICANTS = """
 WITH agg AS (
     SELECT o_custkey, max(o_totalprice) AS AMT_CREDIT, avg(o_totalprice) AS AMT_ANNUITY,
            CAST(date_diff('day', DATE '2001-08-02', CAST(min(o_orderdate) AS DATE)) AS INTEGER) AS DAYS_BIRTH,
-           CAST(date_diff('day', DATE '2001-01-01', CAST(min(o_orderdate) FILTER (o_orderpriority = '1-URGENT') AS DATE))
+           CAST(date_diff('day', DATE '2001-01-01', CAST(min(o_orderdate) AS DATE))
                 AS INTEGER) AS DAYS_EMPLOYED
     FROM orders GROUP BY o_custkey),
 applicants AS (
@@ -20,7 +20,7 @@ _PRIOR_BODY = """prior AS (
            CASE o_orderstatus WHEN 'F' THEN 'Refused' WHEN 'O' THEN 'Approved' END AS NAME_CONTRACT_STATUS,
            o_totalprice AS AMT_CREDIT,
            CAST(date_diff('day', DATE '2001-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS DAYS_DECISION
-    FROM orders WHERE o_orderpriority = '1-URGENT')"""
+    FROM orders)"""
 
 _HISTORY_BODY = """history AS (
     SELECT o_custkey AS SK_ID_CURR, CASE WHEN l_linestatus = 'O' THEN 'Active' ELSE 'Closed' END AS CREDIT_ACTIVE,
@@ -155,9 +155,9 @@ def bucket(token: str) -> str:
     return f"CAST('0x' || substr(md5({token}), 1, 2) AS INTEGER)"
 
 
-FIRST_TURNS = """
-    first_turns AS (SELECT conv_id AS query_id, arg_min(text, turn) AS question
-                    FROM conversations WHERE role = 'user' GROUP BY 1)"""
+USER_TURNS = """
+    user_turns AS (SELECT conv_id * 1000000 + turn AS query_id, text AS question
+                    FROM conversations WHERE role = 'user')"""
 
 PASSAGES = "passages AS (SELECT item_id AS query_id, text AS question FROM benchmark)"
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,31 +17,28 @@ CHUNK_END = re.compile(r"[.!?]\s|\n\n")
 EXTRA_NEWLINES = re.compile(r"\n{3,}")
 
 
-def _spans(text: str, size: int, overlap: int, crawl: bool) -> Iterator[tuple[int, int]]:
-    """Chunk limits in order. Each depends on the one before, hence plain Python per text."""
-    begin, length = 0, len(text)
-    while True:
-        stop = min(begin + size, length)
-        if stop < length:
-            for boundary in CHUNK_END.finditer(text, begin, stop):
-                last = boundary.end()
-                if crawl or last - begin > overlap:
-                    stop = last
-        yield begin, stop
-        if stop >= length:
-            return
-        begin = max(stop - overlap, begin + 1)
+def chunk_limits(text: str, size: int, overlap: int, crawl: bool = False) -> Iterator[tuple[int, int]]:
+    """Start and end of each chunk. All possible ends are found in one pass; each chunk then takes its last by bisection."""
+    ends = [m.end() for m in CHUNK_END.finditer(text)]
+    start = 0
+    while len(text) - start > size:
+        below = bisect_right(ends, start + size)
+        end = ends[below - 1] if below and ends[below - 1] >= start + 2 else 0  # both characters lie in the chunk
+        if not end and start and text[start - 1] in ".!?" and text.startswith("\n\n", start):
+            end = start + 2  # a blank line whose first half ended a sentence before this chunk
+        if not end or (end - start <= overlap and not crawl):
+            end = start + size
+        yield start, end
+        start = max(end - overlap, start + 1)
+    yield start, len(text)
 
 
 def split_text(
     text: str | None, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, crawl: bool = False
 ) -> list[str]:
-    """Chunks of one text."""
-    text = EXTRA_NEWLINES.sub("\n\n", text or "").strip()
-    if len(text) <= size:
-        return [text] if text else []
-    pieces = (text[a:b].strip() for a, b in _spans(text, size, overlap, crawl))
-    return [p for p in pieces if p]
+    """Chunks of one text, without white space around; empty ones are left out."""
+    cleaned = EXTRA_NEWLINES.sub("\n\n", text or "").strip()
+    return [chunk for a, b in chunk_limits(cleaned, size, overlap, crawl) if (chunk := cleaned[a:b].strip())]
 
 
 def chunk_corpus(

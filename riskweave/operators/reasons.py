@@ -19,15 +19,16 @@ from riskweave.operators.scorecard import ScorecardModel
 
 TOP_REASONS = 4
 
+#: One sentence per group, from the columns it sums. Group names are fixed values.
 DEFAULT_REASONS = {
-    "External credit scores": "External credit scores are too low",
-    "Debt-to-income": "Debt payments are too large for the income",
-    "Income": "Income does not support the amount applied for",
-    "Age & employment": "Credit or employment history is short",
-    "Prior bureau delinquency": "Earlier credit was paid late",
-    "Prior application history": "Recent applications were declined or withdrawn",
-    "Household": "Number of dependants for the income",
-    "Region": "Risk rating of the region",
+    "External credit scores": "Mean of the outside scores on file",
+    "Debt-to-income": "Annuity and credit amount measured against yearly income",
+    "Income": "Yearly income stated",
+    "Age & employment": "Years of age and years in the present job",
+    "Prior bureau delinquency": "Days and amounts overdue with other lenders",
+    "Prior application history": "Share of earlier applications refused, and how many there were",
+    "Household": "Number of children",
+    "Region": "Rating of the home region",
 }
 
 
@@ -137,16 +138,16 @@ def notices(
     ranked = _ranked(contributions.columns, groups, texts, top_n)
     lines = F.transform(ranked, lambda r, i: F.concat(F.lit("  "), (i + 1).cast("string"), F.lit(". "), r["reason"]))
     listed = F.when(F.size(lines) > 0, F.array_join(lines, "\n")).otherwise(
-        F.lit("  No single factor raised the assessed risk.")
+        F.lit("  (no group has a positive contribution)")
     )
     return contributions.select(key, F.concat_ws(
         "\n",
-        F.lit("Notice of action taken on your application"),
+        F.lit("Decision on a credit application"),
         F.concat(F.lit("Reference: "), F.col(key).cast("string")),
         F.lit(f"Decision: {decision}"),
-        F.lit("Main reasons:"),
+        F.lit("Reasons:"),
         listed,
-        F.lit("The reasons above are those that raised the assessed risk most, in order."),
+        F.lit("Listed by contribution to the score, largest first."),
     ).alias("notice"))
 
 
