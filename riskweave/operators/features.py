@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskweave.functions import risk
 from riskweave.operators.ordered import Pieces, plan_pieces, previous_values, quantiles, ranked, running_sums
+from riskweave.sources.tables import nan_to_null
 
 # The output columns of the applicant feature table, and those
 # among them that mean "nothing happened" when an applicant has no history.
@@ -191,8 +192,8 @@ def impute(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
 
 
 def fit_standardizer(train: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population standard deviation of the training rows."""
-    row = train.agg(
+    """Mean and population standard deviation of the training rows; NaN is missing."""
+    row = nan_to_null(train.select(*cols)).agg(
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)],
     ).first()

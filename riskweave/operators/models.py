@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,21 +19,30 @@ from pyspark.sql import functions as F
 from riskweave.operators.features import fit_standardizer
 from riskweave.operators.metrics import metric_bundle
 from riskweave.operators.profile import class_weights
+from riskweave.session import ensure_checkpoints, materialize
 
 log = logging.getLogger(__name__)
 
 RESULT_COLUMNS = ("auprc", "auc", "recall", "precision", "f1", "mcc", "ks", "gini", "positive_rate")
 
 
+#: Training rows that one task of a tree level reads.
+ROWS_PER_TASK = 25_000
+
+
 def positive_weight(train: DataFrame, label: str) -> float:
     return class_weights(train, label).first()["pos_weight"]
 
 
 def fit_gbt(
-    train: DataFrame, label: str, features: list[str], weighted: bool = False, trees: int = 50, depth: int = 5,
+    train: DataFrame, label: str, features: list[str], weighted: bool = False, trees: int = 400, depth: int = 5,
     step: float = 0.05, seed: int = 42,
 ) -> PipelineModel:
-    """Gradient-boosted trees; ``weighted`` lets the positives weigh as much as the negatives."""
+    """Gradient-boosted trees; ``weighted`` lets the positives weigh as much as the negatives.
+
+    A small training table gets few partitions, as each level of each tree is a job of one task per partition.
+    """
+    ensure_checkpoints(train.sparkSession)
     weight = positive_weight(train, label) if weighted else 1.0
     rows = train.select(
         F.col(label).cast("double").alias("_label"), *[F.col(f).cast("double").alias(f) for f in features],
@@ -41,9 +51,10 @@ def fit_gbt(
     booster = GBTClassifier(
         featuresCol="_features", labelCol="_label", weightCol="_weight", predictionCol="_prediction", maxIter=trees, maxDepth=depth, stepSize=step,
         subsamplingRate=0.8, featureSubsetStrategy="0.8" if len(features) > 1 else "all", seed=seed,
+        cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=512,
     ).setRawPredictionCol("_raw").setProbabilityCol("_probability")
     try:
-        return Pipeline(stages=[_assembler(features), booster]).fit(rows)
+        return Pipeline(stages=[_assembler(features), booster]).fit(rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK))))
     finally:
         rows.unpersist()
 
@@ -112,6 +123,7 @@ def benchmark(models: dict[str, PipelineModel], test: DataFrame, label: str, thr
         )
         for name, model in models.items()
     ])
+    scored = materialize(scored, "scored")  # the sketch and the histogram read it
     bundle = metric_bundle(scored, "label", "probability", threshold, ["model"])
     return bundle.select("model", *RESULT_COLUMNS).orderBy(F.desc_nulls_last("auprc"), "model")
 
@@ -128,26 +140,42 @@ def metric_lift(results: DataFrame, metric: str, candidate: str, baseline: str)
 
 
 # --------------------------------------------------------------------------- champion
-ALIAS_SCHEMA = "alias string, model string, uri string, auprc double"
+ALIAS_SCHEMA = "alias string, version long, model string, uri string, auprc double"
 
 
 def promote(results: DataFrame, models: dict[str, PipelineModel], path: str, alias: str = "champion") -> str:
-    """Save the model with the best AUPRC, whichever it is, and point the alias at it."""
-    best = results.agg(F.max_by("model", "auprc").alias("model"), F.max("auprc").alias("auprc")).first()
-    uri = f"{path}/models/{best['model']}"
-    models[best["model"]].write().overwrite().save(uri)
+    """Save the model with the best AUPRC as a new version, then point the alias at it.
+
+    Equal AUPRC, and none at all, are settled by name. Versions and the rows of the alias table are only ever added, so a
+    scorer that loads meanwhile gets the version before or this one, whole.
+    """
     spark = results.sparkSession
-    spark.createDataFrame([(alias, best["model"], uri, best["auprc"])], ALIAS_SCHEMA).coalesce(1).write.mode(
-        "overwrite").parquet(f"{path}/alias/{alias}")
+    best = results.select("model", "auprc").orderBy(F.desc_nulls_last("auprc"), "model").first()
+    if best is None:
+        raise ValueError("no result to choose from")
+    version = 1 + max((r["version"] for r in _aliases(spark, path, alias)), default=0)
+    uri = f"{path}/models/{best['model']}/{version}-{uuid.uuid4().hex[:8]}"
+    models[best["model"]].write().save(uri)
+    spark.createDataFrame([(alias, version, best["model"], uri, best["auprc"])], ALIAS_SCHEMA).coalesce(1).write.mode(
+        "append").parquet(f"{path}/alias/{alias}")
     return best["model"]
 
 
-def load_champion(spark, path: str, alias: str = "champion") -> PipelineModel:
+def _aliases(spark, path: str, alias: str) -> list:
+    """All versions the alias has had."""
     try:
-        row = spark.read.schema(ALIAS_SCHEMA).parquet(f"{path}/alias/{alias}").first()
+        return spark.read.schema(ALIAS_SCHEMA).parquet(f"{path}/alias/{alias}").collect()
     except AnalysisException as missing:
-        raise FileNotFoundError(f"no model has been promoted to {alias} under {path}") from missing
-    return PipelineModel.load(row["uri"])
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
+def load_champion(spark, path: str, alias: str = "champion") -> PipelineModel:
+    rows = _aliases(spark, path, alias)
+    if not rows:
+        raise FileNotFoundError(f"no model has been promoted to {alias} under {path}")
+    return PipelineModel.load(max(rows, key=lambda r: r["version"])["uri"])
 
 
 def score_batch(df: DataFrame, path: str, alias: str = "champion", name: str = "probability") -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskweave.sources.tables import nan_to_null
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -22,6 +24,7 @@ def _long(row: DataFrame, cols: list[str], names: tuple[str, str]) -> DataFrame:
 def null_rates(df: DataFrame, cols: list[str] | None = None, top: int | None = 10) -> DataFrame:
     """Share of missing values per column in one pass, highest first."""
     cols = cols or df.columns
+    df = nan_to_null(df.select(*cols))
     row = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
     out = _long(row, cols, ("column", "null_rate")).orderBy(F.desc_nulls_last("null_rate"), "column")
     return out.limit(top) if top else out

@@ -67,6 +67,21 @@ def class_totals(df: DataFrame, target: str) -> DataFrame:
                   F.coalesce(F.sum(1 - y), F.lit(0)).alias("total_good"))
 
 
+def _category(df: DataFrame, col: str) -> Column:
+    """A value as its own bin; null and NaN are missing."""
+    floating = df.schema[col].dataType.typeName() in ("double", "float")
+    value = F.when(~F.isnan(col), F.col(col)) if floating else F.col(col)
+    return F.coalesce(value.cast("string"), F.lit(MISSING))
+
+
+def _with_own_totals(counts: DataFrame) -> DataFrame:
+    """As :func:`woe_from_counts`; the class totals are the sums over any one feature's bins, so the table isn't read again."""
+    per_feature = Window.partitionBy("feature")
+    woe, iv = _woe(F.col("n_bad"), F.col("n") - F.col("n_bad"), F.sum("n_bad").over(per_feature),
+                   F.sum(F.col("n") - F.col("n_bad")).over(per_feature))
+    return counts.select("*", woe.alias("woe"), iv.alias("iv_contribution"))
+
+
 def _bin_counts(df: DataFrame, target: str, numeric: dict[str, list[float]], categorical: list[str]) -> DataFrame:
     """``feature, bin_index, category, n, n_bad`` for all features from one scan and one grouping."""
     pairs = [
@@ -75,7 +90,7 @@ def _bin_counts(df: DataFrame, target: str, numeric: dict[str, list[float]], cat
         for c, edges in numeric.items()
     ] + [
         F.struct(F.lit(c).alias("feature"), F.lit(None).cast("int").alias("bin_index"),
-                 F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias("category"))
+                 _category(df, c).alias("category"))
         for c in categorical
     ]
     long = df.select(F.col(target).cast("long").alias("_y"), F.inline(F.array(*pairs)))
@@ -101,7 +116,7 @@ def woe_tables(
 ) -> DataFrame:
     """WOE/IV rows of many features: numeric ones with given edges, categorical ones by value."""
     counts = _with_limits(_bin_counts(df, target, numeric, list(categorical)), numeric)
-    return woe_from_counts(counts, class_totals(df, target)).select(*BIN_COLUMNS)
+    return _with_own_totals(counts).select(*BIN_COLUMNS)
 
 
 def woe_numeric(
@@ -135,7 +150,7 @@ def iv_ranking(
     continuous = [c for c in numbers if many[c]]
     edges = quantile_edges(df, continuous, n_bins, accuracy, decimals) if continuous else {}
     counts = _bin_counts(df, target, edges, [c for c in features if c not in edges])
-    found = woe_from_counts(counts, class_totals(df, target)).groupBy("feature").agg(
+    found = _with_own_totals(counts).groupBy("feature").agg(
         F.sum("iv_contribution").alias("iv")
     )
     names = df.sparkSession.createDataFrame([(c,) for c in features], "feature string")
@@ -177,7 +192,7 @@ def monotonic_bins(
     merged = counts.groupBy("feature").applyInPandas(
         _pool_feature, "feature string, bin_index int, lo double, hi double, category string, n long, n_bad long"
     )
-    return woe_from_counts(merged, class_totals(df, target)).select(*BIN_COLUMNS)
+    return _with_own_totals(merged).select(*BIN_COLUMNS)
 
 
 def _pool_feature(rows: pd.DataFrame) -> pd.DataFrame:
@@ -252,7 +267,7 @@ def woe_transform(
         lookup = bins.where((F.col("feature") == f) & F.col("bin_index").isNull()).select(
             F.col("category").alias("_category"), F.col("woe").alias("_woe")
         )
-        value = F.coalesce(F.col(f).cast("string"), F.lit(MISSING))
+        value = _category(df, f)
         out = out.join(lookup, value == F.col("_category"), "left").withColumn(
             f"{f}{suffix}", F.coalesce("_woe", F.lit(0.0))
         ).drop("_category", "_woe")

@@ -13,7 +13,7 @@ from riskweave.operators.metrics import BUNDLE, metric_bundle
 from riskweave.operators.models import RESULT_COLUMNS, fit_gbt, metric_lift, positive_proba
 from riskweave.operators.reasons import group_shapley, highest_risk, notices
 from riskweave.operators.scorecard import ScorecardModel, fit_scorecard, scorecard_proba
-from riskweave.operators.split import stable_split
+from riskweave.operators.split import stratified_split
 from riskweave.operators.woe import IV_FLOOR, iv_ranking, selected_features
 from riskweave.session import materialize
 from riskweave.sources.runlog import append_run
@@ -32,7 +32,7 @@ class CreditRun:
 
 def run_credit(
     features: DataFrame, key: str, target: str, out: str, groups: dict[str, list[str]] = FEATURE_GROUPS,
-    trees: int = 50, seed: int = 42, accuracy: int | None = None,
+    trees: int = 400, seed: int = 42, accuracy: int | None = None,
 ) -> CreditRun:
     """Split, rank by IV, fit scorecard and trees, compare, explain; reports go under ``out``.
 
@@ -41,7 +41,7 @@ def run_credit(
     spark = features.sparkSession
     names = model_features(features, groups)
     table = materialize(features.select(key, F.col(target).cast("int").alias(target), *names), "credit")
-    train, test = stable_split(table, key, seed=seed)
+    train, test = stratified_split(table, key, target, seed=seed)
 
     ranking = materialize(iv_ranking(train, target, names, IV_FLOOR, accuracy=accuracy), "iv")
     write_report(ranking.orderBy(F.desc("iv"), "feature"), f"{out}/iv_ranking")

@@ -44,6 +44,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Give the context a checkpoint folder if it has none: iterative fits cut their lineage there."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(work_folder(spark, "checkpoints"))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the working folder and read it back.
 

@@ -194,3 +194,16 @@ def test_fraud_run_end_to_end(tx, tmp_path):
     assert {r["model"] for r in rows} == {"gbm", "mlp"} and rows[0]["model"] == run.champion
     assert run.summary.first()["champion"] == run.champion
     assert md.score_batch(tx, out).where(F.col("probability").between(0, 1)).count() == 3000
+
+
+def test_choice_of_the_champion_without_or_with_equal_figures(spark, fitted, tmp_path):
+    models, _, _ = fitted
+    path = str(tmp_path / "store")
+    schema = "model string, auprc double"
+    names = sorted(models)
+    for figures in ([(n, None) for n in names], [(n, 0.4) for n in reversed(names)]):
+        assert md.promote(spark.createDataFrame(figures, schema), models, path) == names[0]
+    versions = spark.read.parquet(f"{path}/alias/champion").orderBy("version").collect()
+    assert [r["version"] for r in versions] == [1, 2] and len({r["uri"] for r in versions}) == 2
+    with pytest.raises(ValueError):
+        md.promote(spark.createDataFrame([], schema), models, path)

@@ -125,3 +125,12 @@ def test_training_bins_code_the_training_rows(signal):
     coded = woe.woe_transform(signal, bins, ["x"]).groupBy("x_woe").agg(F.count("*").alias("n"), F.sum("y").alias("b"))
     want = {(r["woe"], r["n"], r["n_bad"]) for r in bins.collect()}
     assert {tuple(r) for r in coded.collect()} == want
+
+
+def test_nan_is_missing_in_bins_by_value(spark):
+    rows = [(1.0, 1), (2.0, 0), (float("nan"), 1), (None, 0), (1.0, 0)]
+    df = spark.createDataFrame(rows, "x double, y int")
+    bins = woe.woe_categorical(df, "x", "y")
+    assert {r["category"]: r["n"] for r in bins.collect()} == {"1.0": 2, "2.0": 1, "MISSING": 2}
+    coded = woe.woe_transform(df, bins, [], ["x"]).where("x IS NULL OR isnan(x)").select("x_woe").distinct()
+    assert coded.count() == 1
