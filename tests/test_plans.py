@@ -74,7 +74,7 @@ def test_all_features_share_one_grouping(spark, tables):
     assert "Subquery" not in plan and plan.count("Location") <= 1  # class totals come from the bins
     main = plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
-    assert len(re.findall(r"Exchange hashpartitioning\(feature", main)) <= 1
+    assert len(re.findall(r"Exchange hashpartitioning\(feature[^)]*bin_index", main)) <= 1  # the rows; then only bins move
 
 
 def test_reasons_need_no_shuffle(spark, tables):
