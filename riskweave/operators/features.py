@@ -120,10 +120,10 @@ def prior_aggregates(
     """Count, refused rate and amount of the latest application per applicant.
 
     The latest is the largest day, then the smallest id; a missing day is the
-    oldest. ``max_by`` needs neither a window nor a sort. With ``ignore_nulls``
+    oldest. ``min_by`` needs neither a window nor a sort, and ids may be of any type. With ``ignore_nulls``
     the latest application that has an amount counts.
     """
-    latest = F.struct(F.col(cols.day), -F.col(cols.id))
+    latest = F.struct(F.col(cols.day).isNull(), -F.col(cols.day), F.col(cols.id))
     amount = F.col(cols.amount)
     if ignore_nulls:
         latest = F.when(amount.isNotNull(), latest)
@@ -132,7 +132,7 @@ def prior_aggregates(
     return prior.groupBy(cols.key).agg(
         F.count(F.lit(1)).alias("PREV_CNT"),
         F.avg(refused).alias("PREV_REFUSED_RATE"),
-        F.max_by(amount, latest).alias("PREV_LAST_AMT_CREDIT"),
+        F.min_by(amount, latest).alias("PREV_LAST_AMT_CREDIT"),
     )
 
 

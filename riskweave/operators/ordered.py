@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave.functions.risk import step_index
 
@@ -62,6 +63,8 @@ def plan_pieces(
     A first sketch also counts the rows; only a table that needs more pieces than
     it resolves is sketched again.
     """
+    if tie is not None and not isinstance(df.select(tie.alias("t")).schema["t"].dataType, T.NumericType):
+        tie = None  # no sketch of keys that aren't numbers; the rows of one order value then stay together
     grid = min(FIRST_GRID, max_pieces)
     row = _sketch(df, order, tie, grid)
     pieces = min(max_pieces, math.ceil(row["n"] / rows_per_piece))

@@ -100,3 +100,10 @@ def test_sketched_quantiles(spark):
     got = quantiles(df, ["x", "e"], [0.0, 0.5, 1.0], accuracy=1000)
     assert got["e"] is None and got["x"][0] == 0.0 and got["x"][2] == 1000.0
     assert got["x"][1] == pytest.approx(500, abs=5)
+
+
+def test_ids_that_are_no_numbers_break_ties(spark):
+    rows = [(f"g{i % 2}", i // 6, f"id-{i:03d}") for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, day int, id string")
+    cut = plan_pieces(df, F.col("day"), F.col("id"), rows_per_piece=10)
+    assert cut.edges and not cut.tie_edges
