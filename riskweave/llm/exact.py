@@ -79,13 +79,18 @@ class Snapshot:
 def _with_equal_bytes(docs: DataFrame, matches: DataFrame) -> DataFrame:
     """Of matches (both sides' kept ids and the digest) those whose texts are equal byte by byte."""
     ids = materialize(matches.select(F.explode(F.array("keep_id", "old_id")).alias("doc_id")).distinct(), "dup-ids")
-    texts = only_ids(docs, ids).join(ids, "doc_id", "left_semi").mapInArrow(
-        _digests(True), "doc_id long, sha binary, check long, n_bytes long, bytes binary").dropDuplicates(["doc_id", "sha"])
-    texts = materialize(texts.select("doc_id", "sha", "bytes"), "dup-texts")
-    new = texts.withColumnsRenamed({"doc_id": "keep_id", "bytes": "new_bytes"})
-    old = texts.withColumnsRenamed({"doc_id": "old_id", "bytes": "old_bytes"})
-    return matches.join(new, ["keep_id", "sha"]).join(old, ["old_id", "sha"]).filter(
-        F.col("new_bytes") == F.col("old_bytes")).drop("new_bytes", "old_bytes")
+    shape = "doc_id long, sha binary, check long, n_bytes long, bytes binary"
+    texts = only_ids(docs, ids).join(ids, "doc_id", "left_semi").mapInArrow(_digests(True), shape)
+    if not ids.filter("doc_id IS NULL").isEmpty():  # missing ids say nothing, the digest tells which texts are meant
+        unnamed = docs.filter("doc_id IS NULL").mapInArrow(_digests(True), shape)
+        texts = texts.unionByName(unnamed.join(
+            matches.filter("keep_id IS NULL OR old_id IS NULL").select("sha").distinct(), "sha", "left_semi"))
+    texts = materialize(texts.select("doc_id", "sha", "bytes").dropDuplicates(["doc_id", "sha"]), "dup-texts")
+    new = texts.select(F.col("doc_id").alias("new_id"), F.col("sha").alias("new_sha"), F.col("bytes").alias("new_bytes"))
+    old = texts.select(F.col("doc_id").alias("earlier_id"), F.col("sha").alias("earlier_sha"), F.col("bytes").alias("old_bytes"))
+    both = matches.join(new, (F.col("sha") == F.col("new_sha")) & F.col("keep_id").eqNullSafe(F.col("new_id"))).join(
+        old, (F.col("sha") == F.col("earlier_sha")) & F.col("old_id").eqNullSafe(F.col("earlier_id")))
+    return both.filter(F.col("new_bytes") == F.col("old_bytes")).select(matches.columns)
 
 
 def exact_duplicates(df: DataFrame, batch: Column, batches: int, key: str = "doc_id", text: str = "text",
@@ -94,11 +99,13 @@ def exact_duplicates(df: DataFrame, batch: Column, batches: int, key: str = "doc
 
     ``batch`` numbers the batch a row arrives with, from 0 to ``batches - 1``. Null and empty texts are equal. Of equal
     texts the largest id stays. Rows repeated with id and text are one document; rows that share an id but not the text
-    are documents of their own. No rows give no rows.
+    are documents of their own. The same holds of a missing id: rows without one are a document per text, which stays only if
+    no row with an id has the text; ``keep_id`` is then null and ``kept`` true. A row without a batch comes with the first.
+    No rows give no rows.
     """
     docs = keyed(df, key, text)
     rows = bounded(df).select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"),
-                     batch.cast("int").alias("batch"))
+                     F.coalesce(batch.cast("int"), F.lit(0)).alias("batch"))
     rows = rows.mapInArrow(_digests(False), "doc_id long, batch int, sha binary, check long, n_bytes long")
     rows = materialize(rows.groupBy("doc_id", *DIGEST).agg(F.min("batch").alias("batch")), "digests")
     snapshots: list[Snapshot] = []
@@ -121,7 +128,7 @@ def exact_duplicates(df: DataFrame, batch: Column, batches: int, key: str = "doc
         F.max("keep_id").alias("keep_id"), F.sum("size").alias("group_size"), F.collect_list("batch").alias("batches"))
     classes = materialize(classes.select("sha", "keep_id", "group_size", F.explode("batches").alias("batch")), "classes")
     return rows.join(classes, ["sha", "batch"]).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
@@ -134,18 +141,19 @@ def _matches(docs: DataFrame, snapshot: Snapshot, groups: DataFrame) -> DataFram
 
 
 def keep_one(df: DataFrame, batch: Column, batches: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with one row of each group of equal texts, that of the largest id."""
+    """``df`` with one row of each group of equal texts, that of the largest id, or one without an id if none has any."""
     judged = materialize(exact_duplicates(df, batch, batches, key, text), "judged")
     n, ids = judged.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if n == ids == df.count():
         gone = materialize(judged.filter("not kept").select(F.col("doc_id").alias(key)), "dropped-ids")
         return without_ids(df, gone, key)
-    # ids that repeat: the digest tells which of their rows stays
+    # ids that repeat or are missing: the digest tells which of their rows stays
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     digest = F.sha2(F.translate(text_or_empty(text), letters, letters.lower()).cast("binary"), 256)
-    stays = judged.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"))
+    stays = judged.filter("kept").select(F.col("doc_id").alias("_stays"), F.col("text_sha256").alias("_of"))
     rows = df.withColumn("_id", F.col(key).cast("long")).withColumn("_digest", digest).dropDuplicates(["_id", "_digest"])
-    return rows.join(stays, ["_id", "_digest"], "left_semi").select(df.columns)
+    same = F.col("_id").eqNullSafe(F.col("_stays")) & (F.col("_digest") == F.col("_of"))
+    return rows.join(stays, same, "left_semi").select(df.columns)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -412,13 +412,29 @@ def remove_repeats(df: DataFrame, batches: int = 1, key: str = "doc_id", text: s
 
     A byte goes if a 100-byte string that covers it also starts earlier: in a document of a smaller id, or earlier in the
     same. Documents arrive in ``batches`` of rising ids. Null and empty texts, and those under 100 bytes, lose nothing. Of rows
-    repeated with one id the one with the least text counts. Equality is that of 128-bit fingerprints.
+    repeated with one id the one with the least text counts. Rows without an id are a document per text; they come before all
+    ids, in the order of their texts' SHA-256. Equality is that of 128-bit fingerprints.
     """
     docs = keyed(df, key, text)
-    n, ids, size = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id"), F.sum(F.octet_length("text"))).first()
+    n, named, ids, size = docs.agg(
+        F.count(F.lit(1)), F.count("doc_id"), F.count_distinct("doc_id"), F.sum(F.octet_length("text"))).first()
+    if n != named:
+        digest = F.when(F.col("doc_id").isNull(), F.sha2(F.col("text").cast("binary"), 256))
+        docs = docs.groupBy("doc_id", digest.alias("digest")).agg(F.min("text").alias("text"))
+        # numbers in the order of age stand for the ids
+        docs = docs.sort(F.col("doc_id").asc_nulls_first(), "digest").withColumn("number", F.monotonically_increasing_id())
+        docs = materialize(docs.select("number", "doc_id", "text"), "numbered")
+        of_number = docs.select("number", "doc_id")
+        found = _of_documents(docs.select(F.col("number").alias("doc_id"), "text"), size or 0, batches)
+        found = found.withColumnRenamed("doc_id", "number").join(of_number, "number")
+        return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     if n != ids:
         docs = docs.groupBy("doc_id").agg(F.min("text").alias("text"))
-    size = size or 0
+    return _of_documents(docs, size or 0, batches)
+
+
+def _of_documents(docs: DataFrame, size: int, batches: int) -> DataFrame:
+    """``remove_repeats`` for documents of distinct ids and ``size`` bytes at most."""
     index = SuffixIndex(max(1, -(-size // RANGE_BYTES)))
     limits = docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 and size else []
     edges = [None, *sorted({int(x) for x in limits}), None]

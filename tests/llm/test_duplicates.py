@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from riskweave.llm import exact, jaccard, suffixes
 from riskweave.llm.components import components
 from riskweave.llm.fuse import FuseFilter
@@ -58,6 +59,25 @@ def test_keep_one(spark):
     assert sorted((r.doc_id, r.text or "") for r in repeated.collect()) == [(2, "aB"), (2, "z"), (3, "c"), (5, "")]
 
 
+def test_missing_ids_are_documents_of_their_texts(spark):
+    rows = [(None, "only"), (None, "ONLY"), (None, "both"), (4, "Both"), (5, "c"), (None, "late"), (7, "Late"), (None, None)]
+    want = {(None, None, 1, True, "only"), (None, 4, 2, False, "both"), (4, 4, 2, True, "both"), (5, 5, 1, True, "c"),
+            (None, 7, 2, False, "late"), (7, 7, 2, True, "late"), (None, None, 1, True, "")}
+    want = {(*r[:4], hashlib.sha256(r[4].encode()).hexdigest()) for r in want}
+    first, last = F.coalesce(F.col("doc_id") % 2, F.lit(0)), F.when(F.col("doc_id").isNull(), 1).otherwise(0)
+    for batch in (F.col("doc_id") % 2, first, last):  # a missing batch, texts without an id before and after the others
+        found = [tuple(r) for r in exact.exact_duplicates(_frame(spark, rows), batch, 2, per_bucket=2).collect()]
+        assert len(found) == len(want) and set(found) == want
+        kept = sorted((r.doc_id or 0, _lowered(r.text)) for r in exact.keep_one(_frame(spark, rows), batch, 2).collect())
+        assert kept == [(0, ""), (0, "only"), (4, "both"), (5, "c"), (7, "late")]
+
+
+def test_the_pipeline_keeps_texts_without_an_id(spark):
+    rows = [(None, "a clean text"), (None, "another"), (3, "Third"), (4, "third")]
+    kept = corpus_pipeline.exact_dedup(spark, _frame(spark, rows), "")
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {(None, "a clean text"), (None, "another"), (4, "third")}
+
+
 def _without_repeats(rows):
     seen, out = set(), {}
     for key, text in sorted(rows, key=lambda r: r[0]):
@@ -91,6 +111,20 @@ def test_repeated_passages_of_odd_tables(spark):
     assert [tuple(r)[:4] for r in row] == [(1, 300, 299, 1)]
 
 
+@pytest.mark.parametrize("batches", [1, 2])
+def test_repeated_passages_of_texts_without_an_id(spark, batches):
+    draw = random.Random(5)
+    passage, other = ("".join(draw.choice("abcdef ") for _ in range(150)) for _ in range(2))
+    unnamed = [passage + "1", "2" + passage, "3" + other, "short"]
+    rows = [(-2**63, "4" + passage), (5, other + "5"), (6, "six"), (6, "least" + other)]
+    age = sorted(unnamed, key=lambda t: hashlib.sha256(t.encode()).digest())
+    want = _without_repeats([(i, t) for i, t in enumerate([*age, rows[0][1], rows[1][1], rows[3][1]])])
+    frame = _frame(spark, [*[(None, t) for t in unnamed], (None, "short"), *rows])
+    found = suffixes.remove_repeats(frame, batches).collect()
+    ids = [*[None] * 4, -2**63, 5, 6]
+    assert sorted(map(str, map(tuple, found))) == sorted(str((ids[i], *w)) for i, w in want.items())
+
+
 def test_long_texts_go_block_by_block(monkeypatch):
     draw = random.Random(1)
     data = np.frombuffer(bytes(draw.choice(b"ab cd") for _ in range(9000)), np.uint8)
