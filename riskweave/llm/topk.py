@@ -55,14 +55,14 @@ def _products(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k highest scores without the query's own row, equal ones by id."""
-    if len(scores) > k + 1:
-        # one more than k: the query's own row may be among them; all ties of the last stay
-        least = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
-        near = np.flatnonzero(scores >= least)
-        scores, ids = scores[near], ids[near]
+    """The k highest scores without the rows of the query's own id, however many, equal ones by id."""
     others = ids != own
-    scores, ids = scores[others], ids[others]
+    if not others.all():
+        scores, ids = scores[others], ids[others]
+    if len(scores) > k:
+        least = np.partition(scores, len(scores) - k)[len(scores) - k]
+        near = np.flatnonzero(scores >= least)  # all ties of the last stay
+        scores, ids = scores[near], ids[near]
     order = np.lexsort((ids, ~scores))[:k]  # ~ turns the order round without overflow
     return scores[order], ids[order]
 
@@ -96,7 +96,8 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vec
     A component x counts as floor(1024 x); the score is the whole-number inner product, within the range of a long. Equal
     scores are ranked by the smaller id. Vectors that are null or hold a null or a component that is not finite take no
     part; vectors of different length aren't compared, and empty ones score 0. Of rows repeated with one id each takes
-    part. Shards and blocks hold at most so many rows, the bound on what one task multiplies.
+    part, as in the SQL: none is a neighbour of its own id, all others have places of their own in a list, and a query's list
+    is drawn from the pairs of each of its rows with each other row, so a query that stands twice lists a neighbour twice. Shards and blocks hold at most so many rows, the bound on what one task multiplies.
     """
     item = df.schema[vector].dataType
     if not isinstance(item, T.ArrayType):

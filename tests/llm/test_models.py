@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,26 @@ def test_search(spark, k, shard, block):
     assert topk.top_k(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_search_with_repeated_ids(spark, tmp_path):
+    draw = random.Random(9)
+    rows = [(i, [draw.choice([0.0, 0.5, -1.25, 3.001]) for _ in range(4)]) for i in range(80, 130)]
+    rows += [(100, [9.0, 9.0, 9.0, 9.0])] * 14 + [(100, [8.0, 0.0, 1.0, 9.0]), *rows[:3], (200, [1.0, 2.0, 3.0, 4.0]), (200, [1.0, 2.0, 3.0, 4.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    path = str(tmp_path / "embeddings.parquet")
+    frame.repartition(3).write.parquet(path)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    wanted = sorted(db.execute(topk.OP8_SQL).fetchall())
+    for shard, block in ((7, 3), (4096, 4096)):
+        found = topk.top_k(spark.read.parquet(path), F.col("vec_id") % 100 == 0, shard_rows=shard, block_rows=block, fan_in=2)
+        assert sorted(tuple(r) for r in found.collect()) == wanted
+
+
+def test_search_keeps_neighbours_beside_copies_of_the_query():
+    scores, ids = np.array([9, 9, 9, 9, 5, 4, 3]), np.array([1, 1, 1, 1, 2, 3, 4])
+    assert [x.tolist() for x in topk._best(scores, ids, 1, 2)] == [[5, 4], [2, 3]]
+
+
 def test_segments_equal_the_recursive_definition():
     def recursive(s, a, b):
         best = None
