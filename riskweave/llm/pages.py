@@ -19,19 +19,25 @@ from riskweave.llm.common import bounded, table, text_or_empty
 
 # Names of elements, and words in class, id and role that mark what isn't the article.
 SKIPPED = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "object", "canvas",
-           "option", "math", "audio", "video"}
+           "option", "math", "audio", "video", "datalist"}
+#: Of these, those whose content is raw text up to their own closing tag, and those that stand in others of their name.
+RAW, NESTED = {"script", "style", "textarea", "title"}, {"template", "svg", "object", "canvas", "math", "audio", "video"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "dir",
           "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
           "head", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section",
           "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
 EMPTY = {"hr", "br", "img", "input", "meta", "link", "wbr", "area", "base", "col", "embed", "source", "track"}
-AROUND = {"nav", "footer", "aside", "form", "menu", "button", "dialog", "head", "fieldset"}
+AROUND = {"nav", "footer", "aside", "menu", "button", "dialog", "head"}
+FORMS = {"form", "fieldset"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 MARKS = {"ad", "ads", "advert", "advertisement", "advertising", "adverts", "banner", "breadcrumb", "breadcrumbs", "comment",
          "comments", "consent", "contentinfo", "cookie", "cookies", "copyright", "discussion", "disqus", "footer", "form",
          "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice",
          "pagination", "popup", "promo", "promoted", "promotion", "related", "replies", "reply", "responses", "search",
          "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar",
          "topbar", "widget", "complementary"}
+#: Words behind these in a class name what is somewhere in the element, or isn't ("has-sidebar", "no-ads").
+STATES = {"has", "have", "with", "without", "no", "not", "non"}
 CLOSES_P = BLOCKS - {"button", "body", "html", "head", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
@@ -51,24 +57,121 @@ class Block:
     heading: bool
 
 
-def _marks(attributes: str) -> bool:
-    """Whether class, id or role name something beside the article, or the element is hidden."""
+@dataclass(slots=True, eq=False)
+class Element:
+    name: str
+    parent: Element | None
+    main: bool
+    beside: bool = False  # by its name, or hidden: holds for all that it contains
+    marked: bool = False  # by class, id or role: holds unless the article is in it
+    holds: bool = False
+    around: bool = False
+    words: int = 0  # outside links
+    first_heading: bool = False
+
+
+def _marks(attributes: str, own_header: bool) -> tuple[bool, bool]:
+    """Whether the element is hidden, and whether class, id or role name something beside the article.
+
+    With ``own_header`` a header is that of the article.
+    """
+    hidden = marked = False
     for name, value in _MARKED.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" and value != "until-found" or name == "aria-hidden" and value == "true":
-            return True
-        if name == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True
-        elif name in ("class", "id", "role") and not MARKS.isdisjoint(_NAME.findall(value)):
-            return True
-    return False
+            hidden = True
+        elif name == "style":
+            hidden = hidden or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value) is not None
+        elif name in ("class", "id", "role"):
+            for token in value.split():
+                for word in _NAME.findall(token):
+                    if word in STATES:
+                        break
+                    marked = marked or word in MARKS and not (own_header and word == "header")
+    return hidden, marked
+
+
+def _skip(page: str, at: int, name: str, parent: str, last: dict[str, int]) -> int:
+    """Where a skipped element ends that was opened before ``at``: behind its own closing tag, else at that of its parent.
+
+    With neither in the page only the tag is skipped. ``last`` keeps where the page closes an element for the last time.
+    """
+    if name in RAW:
+        end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
+        return end.end() if end else len(page)
+    if name == "option":  # holds text alone, and needn't be closed
+        end = re.compile(r"<[/a-zA-Z]").search(page, at)
+        return end.start() if end else len(page)
+    for n in {name, parent} - last.keys() - {""}:
+        last[n] = max((m.start() for m in re.finditer(rf"</{n}\b", page, re.IGNORECASE)), default=-1)
+    if last[name] < at and last.get(parent, -1) < at:
+        return at
+    depth, outer = 1, 0
+    names = name if not parent else f"{name}|{parent}"
+    for m in re.compile(rf"<(/?)({names})(?![\w:-])([^>]*)(?:>|\Z)", re.IGNORECASE).finditer(page, at):
+        if m[2].lower() == name:
+            if m[1]:
+                depth -= 1
+                if not depth:
+                    return m.end()
+            elif name in NESTED and not m[3].endswith("/"):
+                depth += 1
+        elif not m[1]:
+            outer += 1
+        elif not outer:
+            return m.start()
+        else:
+            outer -= 1
+    return at
+
+
+def _settle(elements: list[Element]) -> None:
+    """Decide which elements stand around the article."""
+
+    def hold(e: Element | None) -> None:
+        while e is not None and not e.holds:
+            e.holds = True
+            e = e.parent
+
+    def judge() -> None:
+        for e in elements:  # parents come first
+            e.around = e.beside or e.marked and not e.holds or e.parent is not None and e.parent.around
+
+    own = [e.words for e in elements]
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.words += e.words
+            e.parent.first_heading = e.parent.first_heading or e.first_heading
+    total = sum(e.words for e in elements if e.parent is None)
+    for e in elements:
+        if e.name == "main":
+            hold(e)
+        elif e.name in FORMS:  # one around the whole page says nothing
+            e.beside = e.beside or not (e.first_heading or 2 * e.words > total)
+    judge()
+    if any(e.main and not e.around for e in elements):
+        return
+    # no article is left: the one under the fewest marks, of these the longest, if more is in it than in all that is left
+    best = None
+    for e in elements:
+        if e.name == "article" and (e.parent is None or not e.parent.main):
+            marks, up, beside = 0, e, False
+            while up is not None and not beside:
+                marks, beside, up = marks + up.marked, up.beside, up.parent
+            if not beside and (best is None or (marks, -e.words) < best[0]):
+                best = (marks, -e.words), e
+    if best is not None and best[1].words > sum(n for e, n in zip(elements, own) if not e.around):
+        hold(best[1])
+        judge()
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order; markup that is cut off or unbalanced is read as far as it goes."""
     found: list[Block] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, main, around
+    inside: list[Element | None] = []  # the element of each block
+    elements: list[Element] = []
+    open_tags: list[Element] = []
+    last_closed: dict[str, int] = {}
     parts: list[str] = []
     linked: list[str] = []
     in_link = heading = False
@@ -77,9 +180,13 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                _, main, around = open_tags[-1] if open_tags else ("", False, False)
                 links = _SPACE.sub(" ", html.unescape("".join(linked))).strip()
-                found.append(Block(text, text.count(" ") + 1, links.count(" ") + 1 if links else 0, main, around, heading))
+                e = open_tags[-1] if open_tags else None
+                b = Block(text, text.count(" ") + 1, links.count(" ") + 1 if links else 0, e is not None and e.main, False, heading)
+                found.append(b)
+                inside.append(e)
+                if e is not None:
+                    e.words += max(0, b.words - b.linked)
         parts.clear()
         linked.clear()
 
@@ -100,8 +207,7 @@ def blocks(page: str) -> list[Block]:
         if name in SKIPPED:
             parts.append(" ")
             if not m[1] and not m[3].endswith("/"):
-                end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
+                at = _skip(page, at, name, open_tags[-1].name if open_tags else "", last_closed)
             continue
         if name == "a":
             in_link = not m[1]
@@ -115,19 +221,27 @@ def blocks(page: str) -> list[Block]:
         in_link = False
         heading = False
         if m[1]:
-            if any(t[0] == name for t in open_tags):
-                while open_tags.pop()[0] != name:
+            if any(e.name == name for e in open_tags):
+                while open_tags.pop().name != name:
                     pass
             continue
-        if name in CLOSES_P and open_tags and open_tags[-1][0] == "p":
+        if name in CLOSES_P and open_tags and open_tags[-1].name == "p":
             open_tags.pop()
-        heading = name in ("h1", "h2", "h3", "h4", "h5", "h6")
+        heading = name in HEADINGS
         if name in EMPTY:
             continue
-        _, main, around = open_tags[-1] if open_tags else ("", False, False)
-        around = around or name in AROUND or (name == "header" and not main) or (name != "body" and _marks(m[3]))
-        open_tags.append((name, main or name in ("article", "main"), around))
+        e = Element(name, open_tags[-1] if open_tags else None, bool(open_tags) and open_tags[-1].main)
+        if name != "body":
+            e.beside, e.marked = _marks(m[3], e.main or heading)
+        e.beside = e.beside or name in AROUND or (name == "header" and not e.main)
+        e.main = e.main or name in ("article", "main")
+        e.first_heading = name == "h1"
+        elements.append(e)
+        open_tags.append(e)
     close_block()
+    _settle(elements)
+    for b, e in zip(found, inside):
+        b.around = e is not None and e.around
     return found
 
 

@@ -68,6 +68,29 @@ def test_extraction():
         assert isinstance(pages.main_text(broken, tree), str)
 
 
+def test_extraction_where_a_mark_holds_the_article():
+    tree = pages.grow([tuple(map(float, r)) for r in pages.LABELLED])
+    text, other = "word " * 60, "more " * 50
+    both = f"{text.strip()}\n\n{other.strip()}"
+    body = f"<p>{text}</p><p>{other}</p>"
+    noise = '<div class="comments"><article><p>A reader writes a long comment here.</p></article></div><div class=ads>Buy</div>'
+    for page in [f'<div class="layout has-sidebar"><article>{body}</article>{noise}</div>', f'<div class="no-ads">{body}</div>',
+                 f'<div class="content-sidebar-wrap"><main>{body}</main>{noise}</div>',
+                 f'<div class="content-sidebar-wrap"><article>{body}</article>{noise}</div>',
+                 f"<body><form id=all action=/><nav><a>Home</a></nav>{body}</form>",
+                 f"<div class=search><article>{body}</article></div>", f"<div>{body}</div>{noise}",
+                 f"<div><svg><path d=x></div>{body}", f"<select><option>a<option>b{body}",
+                 f"<div><object><p>x</p></div><article>{body}</article>", f"<article><svg><g>a<svg>b</svg></g>c</svg>{body}</article>",
+                 f"<div><noscript><div>x</div>y</noscript>{body}</div>",
+                 f"<datalist id=d><option value=a>A<option value=b>B</datalist>{body}", f"<svg/><option>x{body}"]:
+        assert pages.main_text(page, tree) == both, page[:60]
+    head = f'<article><div class="entry-header"><h1>Headline</h1></div>{body}<div class="share-buttons">Share</div></article>'
+    assert pages.main_text(head, tree) == "Headline\n\n" + both
+    for hidden in (f"<div hidden><article>{body}</article></div>", f"<aside><article>{body}</article></aside>",
+                   f"<article><p>{text}</p><form>Your name <input></form></article>"):
+        assert pages.main_text(hidden, tree) == (text.strip() if hidden[1:3] == "ar" else "")
+
+
 def test_extraction_of_odd_rows(spark):
     rows = [(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "<article>" + "<p>a b</p>" * 20_000, "x"), (3, "u", "<nav>x", "x")]
     found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"))
