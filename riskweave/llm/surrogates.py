@@ -3,6 +3,11 @@
 Detected entities get keyed replacements that keep kind, format and, for names, script, gender and letter case. One entity
 has one surrogate wherever it occurs, so references stay together. Distinct entities keep distinct surrogates: all entities
 of the corpus are compared in a table, and of those that would clash all but the first draw again.
+
+A name is found behind a form of address or where a known given name begins it, and then in all of its document wherever one
+of its words stands alone, written large. Not found: names that no form of address and no known given name introduces in
+their document, a given name that is met only alone, and single letters away from the name. A capitalised common word that is
+also a name of its document is replaced with it.
 """
 
 from __future__ import annotations
@@ -50,6 +55,9 @@ _SECRET = re.compile(
 _TITLE = re.compile(
     r"\b(?=[" + "".join(sorted({f(t[0]) for t in TITLES for f in (str.lower, str.upper)})) + r"])("
     + "|".join(sorted(map(re.escape, TITLES), key=len, reverse=True)) + r")\b\.?[ \u00a0](?=[^\W\d_])", re.IGNORECASE)
+_GIVEN = re.compile("(?=[" + "".join(sorted({w[0].upper() for known in GIVEN.values() for w in known})) + r"])(?<![\w'’-])(?:" + "|".join(
+    sorted((re.escape(f(w)) for known in GIVEN.values() for w in known for f in (str.title, str.upper)), key=len, reverse=True))
+    + r")(?=[ \u00a0][^\W\d_])")
 _WORD = re.compile(r"[^\W\d_](?:[\w'’-]*\w)?")
 _SPOTS = re.compile(r"[(+\d][\d .()+-]{5,}\d")
 
@@ -67,6 +75,60 @@ def script_of(word: str) -> str:
     return "cyrillic" if name.startswith("CYRILLIC") else "greek" if name.startswith("GREEK") else "latin"
 
 
+def _name_words(text: str, at: int) -> list[tuple[int, int]]:
+    """The up to three words of a name that begins at a place; it goes on as long as its words are written large."""
+    kept: list[tuple[int, int]] = []
+    while len(kept) < 3:
+        w = _WORD.match(text, at)
+        if not w or not w[0][0].isupper() or w[0].lower() in TITLES:
+            break
+        owned = len(w[0]) > 3 and w[0][-2:].lower() in ("'s", "’s")
+        kept.append((w.start(), w.end() - 2 * owned))
+        if owned or text[w.end():w.end() + 1] not in (" ", "\u00a0"):
+            break
+        at = w.end() + 1
+    return kept
+
+
+def _named(text: str, words: list[tuple[int, int]], gender: str) -> Iterator[tuple[int, int, str, str]]:
+    """The words of a name as entities: given names with their gender, and the surname."""
+    for i, (start, end) in enumerate(words):
+        low = text[start:end].lower()
+        if i < len(words) - 1:
+            shown = gender if gender != "n" else next((g for g in "fm" if low in GIVEN[g]), "n")
+            yield start, end, "name", f"{shown}:{low}"
+        else:
+            yield start, end, "name", f"s:{low}"
+
+
+def _names(text: str) -> list[tuple[int, int, str, str]]:
+    """Names behind forms of address, names that a known given name begins, and their words wherever else they stand."""
+    found: list[tuple[int, int, str, str]] = []
+    title = _TITLE.search(text)
+    while title:
+        words = _name_words(text, title.end())
+        found += _named(text, words, TITLES[title[1].lower()])
+        title = _TITLE.search(text, words[-1][1] if words else title.end())
+    for m in _GIVEN.finditer(text):
+        words = _name_words(text, m.start())
+        if len(words) > 1:
+            found += _named(text, words, "n")
+    if found:
+        known: dict[str, str] = {}
+        forms: set[str] = set()
+        for start, end, _, canonical in found:
+            word = text[start:end]
+            if len(word) > 1:
+                low = word.lower()
+                if low not in known or canonical[0] == "s" != known[low][0]:
+                    known[low] = canonical
+                forms |= {word, word.upper(), word[0] + word[1:].lower()}
+        if forms:
+            bare = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, forms), key=len, reverse=True)) + r")(?!\w)")
+            found += [(m.start(), m.end(), "name", known[m[0].lower()]) for m in bare.finditer(text) if m[0].lower() in known]
+    return found
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """Entities as (start, end, kind, canonical form), in order and without overlap.
 
@@ -92,27 +154,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
                     found.append((m.start(), m.end(), kind, ("+" if value[0] == "+" else "") + digits))
             elif 13 <= len(digits) <= 19 and digits[0] != "0" and luhn(digits):
                 found.append((m.start(), m.end(), kind, digits))
-    title = _TITLE.search(text)
-    while title:
-        at, kept = title.end(), []
-        while len(kept) < 3:  # a name goes on as long as its words are written large
-            w = _WORD.match(text, at)
-            if not w or not w[0][0].isupper() or w[0].lower() in TITLES:
-                break
-            kept.append(w)
-            if text[w.end():w.end() + 1] not in (" ", "\u00a0"):
-                break
-            at = w.end() + 1
-        gender = TITLES[title[1].lower()]
-        for i, w in enumerate(kept):
-            low = w[0].lower()
-            if i < len(kept) - 1:
-                shown = gender if gender != "n" else next((g for g in "fm" if low in GIVEN[g]), "n")
-                low = f"{shown}:{low}"
-            else:
-                low = f"s:{low}"
-            found.append((w.start(), w.end(), "name", low))
-        title = _TITLE.search(text, kept[-1].end() if kept else title.end())
+    found += _names(text)
     found.sort(key=lambda e: (e[0], -e[1]))
     out: list[tuple[int, int, str, str]] = []
     for e in found:

@@ -205,6 +205,19 @@ def test_surrogates_keep_kind_and_format():
     assert surrogates.replaced("г-жа Анна Иванова", b"k", {}, {})[0].split()[1][-1] == "а"
 
 
+def test_names_stay_together_without_a_title():
+    text = "Dr. Anna Becker called. Becker said Anna's car is BECKER'S, not Beckers. Maria Lopez and Dr. Lopez's dog saw Lopez."
+    new, kinds = surrogates.replaced(text, b"k", {}, {})
+    assert kinds == ["name"] * 9 and "Beckers." in new
+    w = new.replace("'", " ").split()
+    for part in ("Anna", "Becker ", "BECKER'", "Lopez", "Maria"):
+        assert part not in new
+    assert w[2].rstrip(".") == w[4] == w[10].title() and w[1] == w[6]
+    found = [c for *_, c in surrogates.detect(text)]
+    assert found == ["f:anna", "s:becker", "s:becker", "f:anna", "s:becker", "f:maria", *["s:lopez"] * 3]
+    assert [e[3] for e in surrogates.detect("Frau Müller; a.muller@x.org, Müller-Lohr, Müller, MÜLLER")].count("s:müller") == 4
+
+
 def test_what_is_no_personal_data_stays():
     for text in ["Version 2.0.", "300.1.1.1", "card 4111 1111 1111 1112", "1.2.3.4.5", "2023-10-11 12:30", "the mister said", "", "@"]:
         assert surrogates.replaced(text, b"k", {}, {}) == (text, [])
