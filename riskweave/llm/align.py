@@ -157,8 +157,8 @@ class Aligner:
 
     def b_ids(self, text: str) -> list[int]:
         """The ids of what lies behind a sure cut: without a space of its own before it."""
-        if text[:1] == " ":
-            return self.codec.encode(text[1:])  # the codec adds the space again
+        if text[:1] == " " and len(text) > 1:
+            return self.codec.encode(text[1:])  # the codec adds the space again, but to no empty text
         return self.codec.encode("\n" + text)[self.after_line:]
 
     def fragment(self, text: str, left: int = 0, right: int | None = None, number: int = 0) -> Fragment | None:
