@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import Memo, held, keyed, table
+from riskweave.llm.common import held, keyed, table
 from riskweave.llm.pieces import SPACE, PieceCodec, model_bytes
 from riskweave.session import materialize
 
@@ -39,13 +39,14 @@ RANGE_BYTES = 64 << 10
 FAN_IN = 16
 #: At most so many frequent id pairs are sent to all tasks; each of the others has at most 1 / so much of all links.
 BROADCAST_PAIRS = 1_000_000
+#: Stretches whose groups a worker keeps.
+KEPT_UNITS = 500_000
 #: Rows and bytes of text of a batch that a task emits.
 ROWS, BYTES = 1000, 4 << 20
 
 #: The bytes that byte-level vocabularies write as themselves; the others are written from U+0100 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_OF = {chr(b): b for b in _SHOWN} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
-_CUT = re.compile(r"(?<=\S)(?=[ \n])")
 #: Marks that end a run of letters for a byte-level tokenizer.
 _MARKS = "。，、；：！？.,;:!?"
 
@@ -120,6 +121,24 @@ def unit_of(groups: list[Group]) -> Unit:
     return Unit(written(groups), sum([len(a) for a, _ in groups]), sum([len(b) for _, b in groups]), tuple(linked(groups)))
 
 
+def unit_from(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> Unit:
+    """The same as ``unit_of`` the fragment of tokens that end together, for the many short stretches."""
+    if a_ends == b_ends:
+        return Unit(";".join([f"{x}|{y}" for x, y in zip(a, b)]), len(a), len(b), tuple([x << 32 | y for x, y in zip(a, b)]))
+    places = dict(zip(b_ends, range(1, len(b) + 1)))
+    parts, links, last_a, last_b = [], [], 0, 0
+    for i, end in enumerate(a_ends, 1):
+        j = places.get(end)
+        if j is not None:
+            if i - last_a == 1 == j - last_b:
+                parts.append(f"{a[last_a]}|{b[last_b]}")
+            else:
+                parts.append(f"{','.join(map(str, a[last_a:i]))}|{','.join(map(str, b[last_b:j]))}")
+            links.append(a[i - 1] << 32 | b[j - 1])
+            last_a, last_b = i, j
+    return Unit(";".join(parts), len(a), len(b), tuple(links))
+
+
 class Aligner:
     """Both tokenizers, and the groups of a text exactly as they tokenize it whole."""
 
@@ -149,8 +168,15 @@ class Aligner:
             self.b_bytes[i] = bytes([value])
         #: Neighbours that some piece holds; no piece lies across two characters that none holds side by side.
         self.joined = {piece[i:i + 2] for piece in self.codec.score for i in range(len(piece) - 1)}
-        self.after_line = len(self.codec.encode("\n"))
-        self.units = Memo(self._unit, limit=200_000)
+        import sentencepiece
+
+        self.pieces = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
+        self.after_line = len(self.pieces.encode("\n"))
+        plain = "".join(c for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" if not {c + ".", c + ","} & self.joined)
+        #: Most sure cuts: spaces, line ends, and a full stop or comma behind a letter.
+        self.cut = re.compile(r"(?<=\S)(?=[ \n])" + (f"|(?<=[{plain}])(?=[.,])" if plain else ""))
+        self.a_size, self.b_size = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.units: dict[str, Unit | None] = {}
 
     def a_ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -158,8 +184,8 @@ class Aligner:
     def b_ids(self, text: str) -> list[int]:
         """The ids of what lies behind a sure cut: without a space of its own before it."""
         if text[:1] == " " and len(text) > 1:
-            return self.codec.encode(text[1:])  # the codec adds the space again, but to no empty text
-        return self.codec.encode("\n" + text)[self.after_line:]
+            return self.pieces.encode(text[1:])  # the library adds the space again, but to no empty text
+        return self.pieces.encode("\n" + text)[self.after_line:]
 
     def fragment(self, text: str, left: int = 0, right: int | None = None, number: int = 0) -> Fragment | None:
         """The fragment of the tokens of ``text``, which lies between two sure cuts, that end behind byte ``left`` and not behind
@@ -174,15 +200,31 @@ class Aligner:
             a, a_ends, b, b_ends = a[own[0]], a_ends[own[0]], b[own[1]], b_ends[own[1]]
         return fragment_of(a, a_ends, b, b_ends, number)
 
-    def _unit(self, text: str) -> Unit | None:
-        found = self.fragment(text)
-        return None if found is None else unit_of([found.prefix, *[g for _, g in found.closed]])
-
-    def units_of(self, text: str) -> list[Unit] | None:
-        """The groups of a whole text, the space before it included; None if the tokens don't give it back."""
+    def learn(self, texts: list[str]) -> None:
+        """Keep the groups of stretches between sure cuts; None for one whose tokens don't give it back."""
+        spaced = [t for t in texts if t[0] == " " and len(t) > 1]
+        b_ids = dict(zip(spaced, self.pieces.encode([t[1:] for t in spaced], num_threads=1)))
+        a_size, b_size, units = self.a_size, self.b_size, self.units
+        for text, found in zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            a = found.ids
+            b = b_ids[text] if text in b_ids else self.b_ids(text)
+            raw = text.encode()
+            if b"".join([self.a_bytes[i] for i in a]) == raw == b"".join([self.b_bytes[i] for i in b]):
+                units[text] = unit_from(a, [*accumulate([a_size[i] for i in a])], b, [*accumulate([b_size[i] for i in b])])
+            else:
+                units[text] = None
+
+    def units_of(self, texts: list[str]) -> list[list[Unit] | None]:
+        """Of every text the groups of a space and the text; None if the tokens don't give it back, none if it is empty."""
+        cut = [self.cut.split(" " + text) if text else [] for text in texts]
+        if len(self.units) > KEPT_UNITS:
+            self.units.clear()
+        new = {u for one in cut for u in one if u not in self.units}
+        if new:
+            self.learn([*new])
         units = self.units
-        found = [units[u] for u in _CUT.split(" " + text)]
-        return None if None in found else found
+        found = [[units[u] for u in one] for one in cut]
+        return [None if None in one else one for one in found]
 
     def is_cut(self, raw: bytes, at: int) -> bool:
         """Whether both tokenizers begin a token at this byte whatever lies around."""
@@ -256,16 +298,21 @@ def _documents(byte_tokenizer: str, piece_model: bytes, range_bytes: int):
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0), batch.column(1)):
-                    doc_id, text, uid = doc_id.as_py(), text.as_py(), uuid.uuid4().bytes
-                    if len(text) > range_bytes or 4 * len(text) > range_bytes and len(text.encode()) > range_bytes:
-                        for number, part, low, high in aligner.ranges(text, range_bytes):
-                            yield uid, doc_id, None, None, None, None, None, None, number, part, low, high
-                        continue
-                    units = aligner.units_of(text) if text else []
-                    if not units:
-                        yield uid, doc_id, 0, 0, 0, "", [], [], None, None, None, None
-                        continue
+                for at in range(0, batch.num_rows, 100):
+                    yield from some(batch.slice(at, 100))
+
+        def some(batch: pa.RecordBatch) -> Iterator[tuple]:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            is_long = [len(t) > range_bytes or 4 * len(t) > range_bytes and len(t.encode()) > range_bytes for t in texts]
+            found = aligner.units_of(["" if cut else t for t, cut in zip(texts, is_long)])
+            for doc_id, text, cut, units in zip(ids, texts, is_long, found):
+                uid = uuid.uuid4().bytes
+                if cut:
+                    for number, part, low, high in aligner.ranges(text, range_bytes):
+                        yield uid, doc_id, None, None, None, None, None, None, number, part, low, high
+                elif not units:
+                    yield uid, doc_id, 0, 0, 0, "", [], [], None, None, None, None
+                else:
                     links = Counter(chain.from_iterable([u.links for u in units]))
                     digest = hashlib.sha256(";".join([u.text for u in units]).encode()).hexdigest()
                     yield (uid, doc_id, sum([u.n_a for u in units]), sum([u.n_b for u in units]), links.total(), digest,
