@@ -11,6 +11,8 @@ from riskweave.operators import answering as an
 from riskweave.operators import chunking as ck
 from riskweave.operators import reteval as rv
 from riskweave.operators import retrieval as rt
+from riskweave.operators import text_index as ti
+from riskweave.operators import vector_index as vi
 from riskweave.plans.retrieval_report import build_index, evaluate, export_chunk_store
 from riskweave.session import materialize, work_folder
 from riskweave.sources.tables import spread
@@ -87,6 +89,41 @@ def r6_lexical_retrieval(spark, sf):
     return _hits_out(rt.top_k_lexical(_asked(user_turns(spark, sf)), _docs(spark, sf), order=ORDER, payload=["source"]))
 
 
+def _vector_index(spark, sf):
+    path = work_folder(spark, "vector-index")
+    vi.build_vector_index(vi.hashed_counts(_docs(spark, sf), "text"), path, "doc_id")
+    asked = vi.hashed_counts(user_turns(spark, sf).select("query_id", "question"), "question").select("query_id", "vector")
+    return path, asked
+
+
+def r4_indexed_retrieval(spark, sf):
+    """r4 from a stored index, which reads the cells that could hold one of the four best."""
+    path, asked = _vector_index(spark, sf)
+    return _hits_out(vi.search_vectors(asked, path, payload=["source"], probes=None))
+
+
+#: Cells read per question, of about the root of the documents, and the share of the best four that must be found there.
+PROBES, RECALL = 16, 0.95
+
+
+def r4_index_recall(spark, sf):
+    """How many of the best four the nearest cells give; a document as near as the fourth counts."""
+    path, asked = _vector_index(spark, sf)
+    near = vi.search_vectors(asked, path, payload=["source"], probes=PROBES).select("query_id", "score")
+    least = vi.search_vectors(asked, path, payload=["source"], probes=None).groupBy("query_id").agg(
+        F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
+    found = least.join(near, "query_id", "left").groupBy("query_id").agg(
+        F.max("n").alias("n"), F.sum((F.col("score") >= F.col("least") - 1e-9).cast("int")).alias("found"))
+    return found.agg(F.count(F.lit(1)).alias("n_questions"), (F.sum("found") / F.sum("n") >= RECALL).alias("recall_reached"))
+
+
+def r6_indexed_retrieval(spark, sf):
+    """r6 from stored postings: the corpus is tokenized once, however many questions there are."""
+    path = work_folder(spark, "text-index")
+    ti.build_text_index(_docs(spark, sf), path, order=ORDER)
+    return _hits_out(ti.search_text(_asked(user_turns(spark, sf)), path, payload=["source"]))
+
+
 def e7_top_k_chunks(spark, sf):
     hits = rt.top_k_sparse(_asked(passages(spark, sf)), _chunks(spark, sf), payload=["id", "source"])
     return rounded(hits.select("query_id", "rank", "score", "id"), "score")
@@ -193,7 +230,8 @@ def r16_evaluation_report(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     a4_chunk_store, a6_golden_set, b11_tokens, r1_chunks, r1_chunks_every_boundary, r2_index_stats, q6_chunk_sanity,
-    r3_hash_embedding, c3_best_similarity, c4_best_token_match, r4_vector_retrieval, r6_lexical_retrieval,
+    r3_hash_embedding, c3_best_similarity, c4_best_token_match, r4_vector_retrieval, r4_indexed_retrieval,
+    r4_index_recall, r6_lexical_retrieval, r6_indexed_retrieval,
     e7_top_k_chunks, r5_dense_retrieval, r7_grade_hits, r8_extract_answers, r9_groundedness, r10_rewrite,
     r11_corrective_answers, r14_grounded_share, c5_gold_membership, e5_first_relevant_rank, r12_recall, r13_mrr,
     r15_context_reduction, r16_evaluation_report,
@@ -257,6 +295,11 @@ ORACLES = {
         {sql.lexical_hits('user_turns', 'question')} SELECT {_HITS_OUT}""",
     "e7_top_k_chunks": f"""{_CHUNKS}, {sql.PASSAGES}, {sql.sparse_hits('passages', 'question')}
         SELECT query_id, rank, round(score, 6) AS score, id FROM hits""",
+    "r4_indexed_retrieval": f"""WITH {sql.WHOLE_DOCUMENTS}, {sql.USER_TURNS},
+        {sql.sparse_hits('user_turns', 'question')} SELECT {_HITS_OUT}""",
+    "r4_index_recall": "SELECT count(*) AS n_questions, TRUE AS recall_reached FROM conversations WHERE role = 'user'",
+    "r6_indexed_retrieval": f"""WITH {sql.WHOLE_DOCUMENTS}, {sql.USER_TURNS},
+        {sql.lexical_hits('user_turns', 'question')} SELECT {_HITS_OUT}""",
     "r5_dense_retrieval": """
         WITH parts AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
         centres AS (SELECT label AS query_id, pos, avg(x) AS x FROM parts GROUP BY 1, 2),

@@ -10,6 +10,7 @@ from riskweave.catalogue.inputs import (
 )
 from riskweave.operators import models as md
 from riskweave.operators import reasons as rs
+from riskweave.operators.attribution import tree_contributions
 from riskweave.operators.features import fit_medians, impute
 from riskweave.operators.imbalance import smote
 from riskweave.operators.metrics import metric_bundle
@@ -22,8 +23,6 @@ from riskweave.session import materialize, work_folder
 from riskweave.sources.runlog import read_runs
 from riskweave.streaming.scoring import read_arrivals, score_stream
 
-#: For queries whose subject is what happens to a fitted model, not the fit.
-FEW_TREES = 20
 CREDIT_FEATURES = ["PREV_REFUSED_RATE", "PREV_CNT", "BUREAU_MAX_DAYS_OVERDUE", "BUREAU_ACTIVE_CNT", "BUREAU_OVERDUE_SUM"]
 CREDIT_GROUPS = {
     "Prior application history": ["PREV_REFUSED_RATE", "PREV_CNT"],
@@ -75,10 +74,23 @@ def m3_gradient_boosted_trees(spark, sf):
     return _quality(md.positive_proba(_gbt(train), test), "is_fraud")
 
 
+_fitted: dict[tuple, md.Model] = {}
+
+
+def _once(spark, sf, name, fit):
+    """A full model, fitted once per session and tables: for queries whose subject is what happens to it, not the fit."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _fitted:
+        _fitted[key] = fit(_sides(spark, sf)[0])
+    return _fitted[key]
+
+
+def _trees(spark, sf):
+    return _once(spark, sf, "gbm", _gbt)
+
+
 def m4_gbt_probability(spark, sf):
-    """Scoring of rows; a small model serves, as m3 has the full fit."""
-    train, test = _sides(spark, sf)
-    scored = md.positive_proba(_gbt(train, trees=FEW_TREES), test)
+    scored = md.positive_proba(_trees(spark, sf), _sides(spark, sf)[1])
     return scored.select("tx_id", "is_fraud", _inside("probability").alias("is_probability"))
 
 
@@ -98,21 +110,19 @@ def m6_benchmark(spark, sf):
 
 
 def m7_promote(spark, sf):
-    """Choice between two models and the alias; small ones serve."""
-    train, test = _sides(spark, sf)
-    plain = md.fit_gbt(train, "is_fraud", TRANSACTION_FEATURES, trees=FEW_TREES)
-    fitted = {"weighted": _gbt(train, trees=FEW_TREES), "unweighted": plain}
+    """Choice between the two models and the alias."""
+    _, test = _sides(spark, sf)
+    fitted = {"gbm": _trees(spark, sf), "mlp": _once(spark, sf, "mlp", lambda train: md.fit_mlp(train, "is_fraud", TRANSACTION_FEATURES))}
     path = work_folder(spark, "champion")
     md.promote(md.benchmark(fitted, test, "is_fraud"), fitted, path)
-    return rounded(spark.read.parquet(f"{path}/alias/champion").select("alias", "model", "auprc"), "auprc")
+    return rounded(md.alias_versions(spark, path).select("alias", "version", "model", "auprc"), "auprc")
 
 
 def _champion(spark, sf):
-    """A small promoted model, for the queries about scoring with one."""
-    train, test = _sides(spark, sf)
-    fitted = {"gbm": _gbt(train, trees=FEW_TREES)}
+    """A promoted model, for the queries about scoring with one."""
+    fitted = {"gbm": _trees(spark, sf)}
     path = work_folder(spark, "champion")
-    md.promote(md.benchmark(fitted, test, "is_fraud"), fitted, path)
+    md.promote(md.benchmark(fitted, _sides(spark, sf)[1], "is_fraud"), fitted, path)
     return path
 
 
@@ -156,18 +166,39 @@ def m12_fraud_run(spark, sf):
         "run", "key", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
-def k3_group_shapley(spark, sf):
-    """Reasons for every applicant of the test side."""
+def _credit_trees(spark, sf):
+    """Trees of the credit table and the rows of the test side."""
     train, test = stable_split(credit_table(spark, sf), "SK_ID_CURR")
     medians = fit_medians(train, CREDIT_FEATURES)
-    trees = md.fit_gbt(impute(train, medians), "TARGET", CREDIT_FEATURES)
-    values = rs.group_shapley(impute(test, medians), "SK_ID_CURR", trees, CREDIT_GROUPS, medians)
-    return rounded(values, *CREDIT_GROUPS)
+    return md.fit_gbt(impute(train, medians), "TARGET", CREDIT_FEATURES), impute(test, medians), medians
+
+
+def k3_group_shapley(spark, sf):
+    """Reasons for every applicant of the test side."""
+    trees, test, medians = _credit_trees(spark, sf)
+    return rounded(rs.group_shapley(test, "SK_ID_CURR", trees, CREDIT_GROUPS, medians), *CREDIT_GROUPS)
+
+
+def k3_tree_attribution(spark, sf):
+    """What each feature of each applicant of the test side adds to the log odds; with the expectation it adds up to them."""
+    trees, test, _ = _credit_trees(spark, sf)
+    values = tree_contributions(test, "SK_ID_CURR", trees, "expected")
+    odds = md.positive_proba(trees, test).select("SK_ID_CURR", F.ln(F.col("probability") / (1 - F.col("probability"))).alias("odds"))
+    total = sum((F.col(f) for f in CREDIT_FEATURES), F.col("expected"))
+    return values.join(odds, "SK_ID_CURR").select("SK_ID_CURR", (F.abs(total - F.col("odds")) < 1e-9).alias("adds_up"))
+
+
+def k3_feature_reasons(spark, sf):
+    """The strongest groups of features that push an applicant of the test side towards default."""
+    trees, test, _ = _credit_trees(spark, sf)
+    codes = rs.reason_codes(tree_contributions(test, "SK_ID_CURR", trees), "SK_ID_CURR", CREDIT_GROUPS)
+    return rounded(codes.select("SK_ID_CURR", "rank", "group", "contribution"), "contribution")
 
 
 QUERIES = {f.__name__: f for f in (
     m2_smote, q4_resampling_leaves_test, m3_gradient_boosted_trees, m4_gbt_probability, m5_perceptron, m6_benchmark,
     m7_promote, m8_score_batch, m9_score_stream, m10_auc_lift, m11_credit_run, m12_fraud_run, k3_group_shapley,
+    k3_tree_attribution, k3_feature_reasons,
 )}
 _TRANSACTIONS = f"""WITH tx AS (
     SELECT event_id AS tx_id, CASE WHEN {sql.uniform('fraud', 'event_id')} < 1 / (1 + exp(-(
@@ -182,5 +213,6 @@ ORACLES: dict[str, str] = {
     "m5_perceptron": _QUALITY,
     "m4_gbt_probability": f"{_TRANSACTIONS} SELECT tx_id, is_fraud, TRUE AS is_probability FROM test",
     "m8_score_batch": f"{_TRANSACTIONS} SELECT tx_id, is_fraud, TRUE AS is_probability FROM tx",
+    "k3_tree_attribution": f"SELECT c_custkey AS SK_ID_CURR, TRUE AS adds_up FROM customer WHERE {sql.is_test('c_custkey')}",
     "m9_score_stream": f"{_TRANSACTIONS} SELECT tx_id, TRUE AS equals_batch FROM tx",
 }

@@ -1,4 +1,4 @@
-"""Spark ML challengers, their comparison on one split, and the champion store."""
+"""Challenger models, their comparison on one split, and the champion store."""
 
 from __future__ import annotations
 
@@ -8,101 +8,57 @@ from collections.abc import Callable
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.operators.features import fit_standardizer
+from riskweave.operators.boosting import BoostedTrees, Growth, fit_trees, load_trees, save_trees
 from riskweave.operators.metrics import metric_bundle
+from riskweave.operators.network import Network, fit_network, load_network, save_network
 from riskweave.operators.profile import class_weights
-from riskweave.session import ensure_checkpoints, materialize
+from riskweave.session import materialize
+from riskweave.sources.commits import commit, read_entries, read_entry
 
 log = logging.getLogger(__name__)
 
 RESULT_COLUMNS = ("auprc", "auc", "recall", "precision", "f1", "mcc", "ks", "gini", "positive_rate")
 
 
-#: Training rows that one task of a tree level reads.
-ROWS_PER_TASK = 25_000
-
-
 def positive_weight(train: DataFrame, label: str) -> float:
     return class_weights(train, label).first()["pos_weight"]
 
 
+Model = BoostedTrees | Network
+
+
 def fit_gbt(
     train: DataFrame, label: str, features: list[str], weighted: bool = False, trees: int = 400, depth: int = 5,
-    step: float = 0.05, seed: int = 42,
-) -> PipelineModel:
+    step: float = 0.05, patience: int | None = 30, seed: int = 42,
+) -> BoostedTrees:
     """Gradient-boosted trees; ``weighted`` lets the positives weigh as much as the negatives.
 
-    A small training table gets few partitions, as each level of each tree is a job of one task per partition.
+    ``trees`` is the most: growth ends when a held-out tenth of the rows hasn't been ranked better for ``patience`` trees.
     """
-    ensure_checkpoints(train.sparkSession)
     weight = positive_weight(train, label) if weighted else 1.0
-    rows = train.select(
-        F.col(label).cast("double").alias("_label"), *[F.col(f).cast("double").alias(f) for f in features],
-        F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)).alias("_weight"),
-    ).persist()
-    booster = GBTClassifier(
-        featuresCol="_features", labelCol="_label", weightCol="_weight", predictionCol="_prediction", maxIter=trees, maxDepth=depth, stepSize=step,
-        subsamplingRate=0.8, featureSubsetStrategy="0.8" if len(features) > 1 else "all", seed=seed,
-        cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=512,
-    ).setRawPredictionCol("_raw").setProbabilityCol("_probability")
-    try:
-        return Pipeline(stages=[_assembler(features), booster]).fit(rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK))))
-    finally:
-        rows.unpersist()
-
-
-def _assembler(columns: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="keep")
+    return fit_trees(train, label, features, float(weight), trees, Growth(depth=depth, step=step), patience, seed=seed)
 
 
 def fit_mlp(
     train: DataFrame, label: str, features: list[str], hidden: tuple[int, ...] = (64, 32), weighted: bool = True,
     iterations: int = 100, seed: int = 42,
-) -> PipelineModel:
-    """Small perceptron on standardized features.
-
-    The Spark ML perceptron knows no row weights, so each positive counts
-    round(n_neg / n_pos) times: the rows at most double.
-    """
-    stats = fit_standardizer(train, features)
-    scaled = [f"_z{i}" for i in range(len(features))]
-    terms = ", ".join(
-        f"(CAST(`{f}` AS DOUBLE) - {stats[f][0]!r}D) / {stats[f][1] + 1e-8!r}D AS {z}" for f, z in zip(features, scaled)
-    )
-    rows = train.select(F.col(label).cast("double").alias("_label"), *features)
-    if weighted:
-        times = max(1, round(positive_weight(train, label)))
-        copies = F.when(F.col("_label") == 1, F.lit(times)).otherwise(F.lit(1))
-        rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
-    net = MultilayerPerceptronClassifier(
-        layers=[len(features), *hidden, 2], featuresCol="_features", labelCol="_label", predictionCol="_prediction",
-        rawPredictionCol="_raw", probabilityCol="_probability", maxIter=iterations, seed=seed,
-    )
-    rows = rows.persist()
-    try:
-        return Pipeline(
-            stages=[SQLTransformer(statement=f"SELECT *, {terms} FROM __THIS__"), _assembler(scaled), net]
-        ).fit(rows)
-    finally:
-        rows.unpersist()
+) -> Network:
+    """Small perceptron on standardized features; ``weighted`` lets the positives weigh as much as the negatives."""
+    weight = positive_weight(train, label) if weighted else 1.0
+    return fit_network(train, label, features, hidden, float(weight), iterations=iterations, seed=seed)
 
 
-def positive_proba(model: PipelineModel, df: DataFrame, name: str = "probability") -> DataFrame:
+def positive_proba(model: Model, df: DataFrame, name: str = "probability") -> DataFrame:
     """The input columns plus the probability of the positive class."""
-    scored = model.transform(df)
-    return scored.select(*df.columns, vector_to_array("_probability")[1].alias(name))
+    return model.score(df, name)
 
 
 # --------------------------------------------------------------------------- comparison
-def fit_all(trainers: dict[str, Callable[[], PipelineModel]]) -> dict[str, PipelineModel]:
+def fit_all(trainers: dict[str, Callable[[], Model]]) -> dict[str, Model]:
     """Fit each trainer; one that is not available or fails is left out, with a warning."""
     fitted = {}
     for name, trainer in trainers.items():
@@ -113,7 +69,7 @@ def fit_all(trainers: dict[str, Callable[[], PipelineModel]]) -> dict[str, Pipel
     return fitted
 
 
-def benchmark(models: dict[str, PipelineModel], test: DataFrame, label: str, threshold: float = 0.5) -> DataFrame:
+def benchmark(models: dict[str, Model], test: DataFrame, label: str, threshold: float = 0.5) -> DataFrame:
     """One metric row per model on the same test rows, best AUPRC first."""
     if not models:
         raise ValueError("no fitted model to compare")
@@ -140,42 +96,35 @@ def metric_lift(results: DataFrame, metric: str, candidate: str, baseline: str)
 
 
 # --------------------------------------------------------------------------- champion
-ALIAS_SCHEMA = "alias string, version long, model string, uri string, auprc double"
-
-
-def promote(results: DataFrame, models: dict[str, PipelineModel], path: str, alias: str = "champion") -> str:
-    """Save the model with the best AUPRC as a new version, then point the alias at it.
+def promote(results: DataFrame, models: dict[str, Model], path: str, alias: str = "champion") -> str:
+    """Save the model with the best AUPRC, then point the alias at it as its next version.
 
-    Equal AUPRC, and none at all, are settled by name. Versions and the rows of the alias table are only ever added, so a
-    scorer that loads meanwhile gets the version before or this one, whole.
+    Equal AUPRC, and none at all, are settled by name. Models and versions are only ever added, and of two promoters at once each
+    gets a version of its own, so a scorer that loads meanwhile gets the version before or a later one, whole.
     """
     spark = results.sparkSession
     best = results.select("model", "auprc").orderBy(F.desc_nulls_last("auprc"), "model").first()
     if best is None:
         raise ValueError("no result to choose from")
-    version = 1 + max((r["version"] for r in _aliases(spark, path, alias)), default=0)
-    uri = f"{path}/models/{best['model']}/{version}-{uuid.uuid4().hex[:8]}"
-    models[best["model"]].write().save(uri)
-    spark.createDataFrame([(alias, version, best["model"], uri, best["auprc"])], ALIAS_SCHEMA).coalesce(1).write.mode(
-        "append").parquet(f"{path}/alias/{alias}")
+    model = models[best["model"]]
+    kind, save = ("trees", save_trees) if isinstance(model, BoostedTrees) else ("network", save_network)
+    uri = f"{path}/models/{best['model']}/{uuid.uuid4().hex[:12]}"
+    save(spark, model, uri)
+    commit(spark, f"{path}/alias/{alias}", {"alias": alias, "model": best["model"], "kind": kind, "uri": uri, "auprc": best["auprc"]})
     return best["model"]
 
 
-def _aliases(spark, path: str, alias: str) -> list:
-    """All versions the alias has had."""
-    try:
-        return spark.read.schema(ALIAS_SCHEMA).parquet(f"{path}/alias/{alias}").collect()
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
+def alias_versions(spark: SparkSession, path: str, alias: str = "champion") -> DataFrame:
+    """``alias, version, model, uri, auprc``: all versions the alias has had, a row for each promotion."""
+    rows = [(e["alias"], v, e["model"], e["uri"], e["auprc"]) for v, e in read_entries(spark, f"{path}/alias/{alias}")]
+    return spark.createDataFrame(rows, "alias string, version long, model string, uri string, auprc double")
 
 
-def load_champion(spark, path: str, alias: str = "champion") -> PipelineModel:
-    rows = _aliases(spark, path, alias)
-    if not rows:
+def load_champion(spark: SparkSession, path: str, alias: str = "champion") -> Model:
+    found = read_entry(spark, f"{path}/alias/{alias}")
+    if found is None:
         raise FileNotFoundError(f"no model has been promoted to {alias} under {path}")
-    return PipelineModel.load(max(rows, key=lambda r: r["version"])["uri"])
+    return (load_trees if found[1]["kind"] == "trees" else load_network)(spark, found[1]["uri"])
 
 
 def score_batch(df: DataFrame, path: str, alias: str = "champion", name: str = "probability") -> DataFrame:

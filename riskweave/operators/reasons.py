@@ -8,13 +8,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.risk import clip_probability
 from riskweave.operators.features import FEATURE_GROUPS, fit_standardizer
-from riskweave.operators.models import positive_proba
+from riskweave.operators.models import Model, positive_proba
 from riskweave.operators.scorecard import ScorecardModel
 
 TOP_REASONS = 4
@@ -54,7 +53,7 @@ def linear_contributions(df: DataFrame, key: str, model: ScorecardModel) -> Data
 
 
 def group_shapley(
-    df: DataFrame, key: str, model: PipelineModel, groups: dict[str, list[str]], baseline: dict[str, float]
+    df: DataFrame, key: str, model: Model, groups: dict[str, list[str]], baseline: dict[str, float]
 ) -> DataFrame:
     """Shapley values of feature groups for the model's log odds, one column per group.
 

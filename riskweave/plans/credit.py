@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.operators.attribution import tree_contributions
+from riskweave.operators.boosting import BoostedTrees
 from riskweave.operators.features import FEATURE_GROUPS, fit_medians, impute, model_features
 from riskweave.operators.metrics import BUNDLE, metric_bundle
 from riskweave.operators.models import RESULT_COLUMNS, fit_gbt, metric_lift, positive_proba
-from riskweave.operators.reasons import group_shapley, highest_risk, notices
+from riskweave.operators.reasons import highest_risk, notices
 from riskweave.operators.scorecard import ScorecardModel, fit_scorecard, scorecard_proba
 from riskweave.operators.split import stratified_split
 from riskweave.operators.woe import IV_FLOOR, iv_ranking, selected_features
@@ -27,7 +28,7 @@ class CreditRun:
     notice: DataFrame
     summary: DataFrame
     scorecard: ScorecardModel
-    gbm: PipelineModel
+    gbm: BoostedTrees
 
 
 def run_credit(
@@ -59,11 +60,11 @@ def run_credit(
     )
     lift = metric_lift(results, "auc", "gbm", "scorecard").first()
 
-    riskiest = highest_risk(by_trees, key).drop("probability")
+    riskiest = highest_risk(by_trees, key)
     used = {g: [c for c in cols if c in chosen] for g, cols in groups.items()}
     used = {g: cols for g, cols in used.items() if cols}
-    contributions = group_shapley(riskiest, key, gbm, used, {c: medians[c] or 0.0 for c in chosen})
-    notice = materialize(notices(contributions, key, groups={g: [g] for g in used}), "notice")
+    contributions = tree_contributions(riskiest, key, gbm)
+    notice = materialize(notices(contributions, key, groups=used), "notice")
     notice.select("notice").write.mode("overwrite").text(f"{out}/notice", lineSep="\n\n")
 
     for row in results.collect():

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.operators.models import RESULT_COLUMNS, benchmark, fit_all, fit_gbt, fit_mlp, promote
+from riskweave.operators.models import RESULT_COLUMNS, Model, benchmark, fit_all, fit_gbt, fit_mlp, promote
 from riskweave.operators.split import stratified_split
 from riskweave.session import materialize
 from riskweave.sources.runlog import append_run
@@ -20,7 +19,7 @@ class FraudRun:
     results: DataFrame
     champion: str
     summary: DataFrame
-    models: dict[str, PipelineModel]
+    models: dict[str, Model]
 
 
 def run_fraud(

@@ -203,7 +203,7 @@ def test_choice_of_the_champion_without_or_with_equal_figures(spark, fitted, tmp
     names = sorted(models)
     for figures in ([(n, None) for n in names], [(n, 0.4) for n in reversed(names)]):
         assert md.promote(spark.createDataFrame(figures, schema), models, path) == names[0]
-    versions = spark.read.parquet(f"{path}/alias/champion").orderBy("version").collect()
+    versions = md.alias_versions(spark, path).orderBy("version").collect()
     assert [r["version"] for r in versions] == [1, 2] and len({r["uri"] for r in versions}) == 2
     with pytest.raises(ValueError):
         md.promote(spark.createDataFrame([], schema), models, path)
