@@ -56,6 +56,11 @@ def crc_of(key: str) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary"))
 
 
+def drawn(df: DataFrame, draw: Column, n: int, sample: int) -> DataFrame:
+    """About ``sample`` of ``n`` rows, by a hash that is spread over all 64-bit numbers; all rows if there aren't more."""
+    return df if n <= sample else df.filter(draw < F.lit(-(2**63) + sample * 2**64 // n))
+
+
 class Memo(dict):
     """A cache of ``make(key)`` that starts anew at ``limit`` entries and doesn't keep long keys."""
 

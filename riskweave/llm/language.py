@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import bounded, crc_of, held, keyed, table
+from riskweave.llm.common import bounded, crc_of, drawn, held, keyed, table
 
 ORDERS = (1, 2, 3)
 #: Characters that are scored at once.
@@ -115,19 +115,19 @@ def _summed(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def fit_language(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = 20_000,
-                 buckets: int = 1 << 15, alpha: float = 0.5) -> LanguageModel:
+                 buckets: int = 1 << 15, alpha: float = 0.5, most_languages: int = 200) -> LanguageModel:
     """From at most about ``sample`` rows with a language, drawn by a hash of the id; rows without text or letter count little.
 
-    The most frequent 200 languages of the sample are learned, which bounds the matrix. Without rows the model knows none.
+    More languages than ``most_languages`` are refused, as the matrix grows with them. Without rows the model knows none.
     """
     known = bounded(df).filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), F.xxhash64(key).alias("draw"))
-    n = known.count()
-    if n > sample:
-        known = known.filter(F.pmod("draw", F.lit(1_000_000)) < int(1_000_000 * sample / n))
+    known = drawn(known, F.col("draw"), known.count(), sample)
     rows = known.select("lang", "text").repartition(8).mapInArrow(
         _counted(buckets), "lang string, docs long, counts binary").groupBy("lang").applyInPandas(
-        _summed, "lang string, docs long, counts binary").orderBy(F.col("docs").desc(), "lang").limit(200).collect()
+        _summed, "lang string, docs long, counts binary").limit(most_languages + 1).collect()
+    if len(rows) > most_languages:
+        raise ValueError(f"more than {most_languages} languages; raise most_languages if executors have the memory")
     rows = sorted(rows, key=lambda r: r["lang"])
     if not rows:
         return LanguageModel([], np.zeros((len(ORDERS), buckets, 0), np.float32), np.zeros(0))

@@ -195,21 +195,31 @@ def _like(text: str, draws: _Draws) -> str:
     return "".join(out)
 
 
+#: Attempts after which a surrogate gets another letter or digit.
+LENGTHEN = 6
+
+
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
-    """The replacement of an entity, in canonical form, never the entity itself."""
+    """The replacement of an entity, in canonical form, never the entity itself.
+
+    Later attempts are longer: where all short values occur in the corpus, none of them is free.
+    """
+    more = attempt // LENGTHEN
     for turn in range(1000):
         draws = _Draws(key, kind, canonical, attempt * 1000 + turn)
         if kind == "email":
             local, _, domain = canonical.partition("@")
             labels = domain.split(".")
-            made = _like(local, draws) + "@" + ".".join([*(_like(x, draws) for x in labels[:-1]), labels[-1]])
+            made = _like(local + "x" * more, draws) + "@" + ".".join([*(_like(x, draws) for x in labels[:-1]), labels[-1]])
         elif kind == "ip":
             made = ".".join(str(1 + draws.below(254)) for _ in range(4))
+            if more:  # the range for documentation of the longer addresses
+                made = "2001:db8:" + ":".join(f"{draws.below(1 << 16):x}" for _ in range(6))
         elif kind == "phone":
             keep = 2 if canonical[0] == "+" else 0  # the first digit of the country
-            made = canonical[:keep] + str(2 + draws.below(8)) + _like(canonical[keep + 1:], draws)
+            made = canonical[:keep] + str(2 + draws.below(8)) + _like(canonical[keep + 1:] + "0" * more, draws)
         elif kind == "card":
-            body = canonical[0] + _like(canonical[1:-1], draws)
+            body = canonical[0] + _like(canonical[1:-1] + "0" * more, draws)
             made = next(body + str(d) for d in range(10) if luhn(body + str(d)))
         elif kind == "name":
             role, _, word = canonical.partition(":")
@@ -221,7 +231,7 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
             if role == "f":
                 made = made[:-1] + endings["f"]
         else:
-            made = _like(canonical, draws)
+            made = _like(canonical + "0" * more, draws)
         if made != canonical:
             return made
     # nothing in the entity can be drawn anew
@@ -232,7 +242,7 @@ def written(kind: str, original: str, made: str) -> str:
     """A surrogate in the format of the occurrence: separators, and the letter case of names and addresses."""
     if kind in ("phone", "card"):
         digits = iter(made.lstrip("+"))
-        return "".join(next(digits) if c.isdigit() else c for c in original)
+        return "".join(next(digits) if c.isdigit() else c for c in original) + "".join(digits)
     if kind == "name":
         made = made.partition(":")[2]
         return made.upper() if original.isupper() and len(original) > 1 else made[0].upper() + made[1:]
@@ -286,16 +296,17 @@ def _with_surrogate(key: bytes) -> Callable:
     return run
 
 
-def settle(entities: DataFrame, key: bytes, make: Callable = _with_surrogate, rounds: int = 20) -> DataFrame | None:
+def settle(entities: DataFrame, key: bytes, make: Callable = _with_surrogate) -> DataFrame | None:
     """The distinct entities that need a later attempt (kind, canonical, attempt), or None if none does.
 
-    A surrogate clashes if another entity has it too, or if it is itself an entity of the corpus.
+    A surrogate clashes if another entity has it too, or if it is itself an entity of the corpus. As later attempts
+    are longer, the rounds come to an end.
     """
     shape = f"{_ENTITY}, attempt int, made string"
     drawn = materialize(entities.withColumn("attempt", F.lit(0)).mapInArrow(make(key), shape), "surrogates")
     originals = drawn.select("kind", F.col("canonical").alias("made"))
     clashed = False
-    for _ in range(rounds):
+    while True:
         shared = drawn.groupBy("kind", "made").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct("attempt", "canonical")).alias("first")).filter("n > 1")
         real = drawn.select("kind", "made").join(originals, ["kind", "made"], "left_semi").distinct()
@@ -313,8 +324,6 @@ def settle(entities: DataFrame, key: bytes, make: Callable = _with_surrogate, ro
         again = judged.filter("loses").select("kind", "canonical", (F.col("attempt") + 1).alias("attempt"))
         drawn = materialize(judged.filter(~F.col("loses")).select(drawn.columns).unionByName(
             again.mapInArrow(make(key), shape)), "surrogates")
-    else:
-        raise RuntimeError(f"surrogates still clash after {rounds} rounds")
     return drawn.filter("attempt > 0").select("kind", "canonical", "attempt") if clashed else None
 
 

@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.common import Memo, bounded, crc_of, keyed, table
+from riskweave.llm.common import Memo, bounded, crc_of, drawn, keyed, table
+from riskweave.session import materialize
 
 WORD = re.compile(r"\w+")
 #: Lengths of the beginnings that words share a prior by.
@@ -122,6 +123,19 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([clean[f] for f in part], pa.int64())], ["feature", "toxic", "clean"])
 
 
+def _evidence(model: ToxicModel):
+    """Label, significance of the best segment and damped sum over all, of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [model.evidence(*model.passages(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([b for b, _ in found], pa.float64()), pa.array([t for _, t in found], pa.float64())],
+                ["label", "best", "total"])
+
+    return run
+
+
 def _scored_sample(model: ToxicModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,12 +144,12 @@ def _scored_sample(model: ToxicModel):
                 found = words(text)
                 scores = [*map(model.memo.__getitem__, found)]
                 values, often = np.unique(np.round(scores, 2), return_counts=True)
-                top = sorted((s for s, _, _ in segments(scores)), reverse=True)[:64]
-                out.append((label, len(found), top, [x for pair in zip(values, often) for x in pair]))
+                best = max((s for s, _, _ in segments(scores)), default=0.0)
+                out.append((label, len(found), best, [x for pair in zip(values, often) for x in pair]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int64()),
-                 pa.array([o[2] for o in out], pa.list_(pa.float64())), pa.array([o[3] for o in out], pa.list_(pa.float64()))],
-                ["label", "n", "scores", "words"])
+                 pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.list_(pa.float64()))],
+                ["label", "n", "best", "words"])
 
     return run
 
@@ -172,17 +186,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     """Learn from the labelled rows given; at most about ``sample`` of them, drawn by a hash of the id, are read.
 
     The model keeps at most ``max_features`` words and beginnings, those whose score differs most from their prior's, so
-    its size has a bound. Three of four sampled rows give the counts, the others the laws. Without rows of both labels every
+    its size has a bound. A document labelled both ways is toxic. Three of four sampled rows give the counts, the others the laws. Without rows of both labels every
     text gets the share of toxic rows (0 without rows).
     """
     known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).select(
-        F.col(key).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).dropDuplicates(["doc_id"])
-    n = known.count()
-    if n > sample:
-        known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * sample / n))
-    # the sample is bounded, so it may go to all executors
-    rows = keyed(docs, key, text).join(F.broadcast(known), "doc_id").select(
-        "label", "text", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0).alias("held"))
+        F.col(key).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).groupBy("doc_id").agg(
+        F.max("label").alias("label"))
+    known = drawn(known, F.xxhash64("doc_id"), known.count(), sample)
+    # the sample is bounded, so it may go to all executors; stored, it is drawn from the texts once
+    rows = materialize(keyed(docs, key, text).join(F.broadcast(known), "doc_id").select(
+        "label", "text", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0).alias("held")), "labelled-sample")
     sizes = {(r["held"], r["label"]): r["count"] for r in rows.groupBy("held", "label").count().collect()}
     n_toxic, n_clean = (sum(c for (_, y), c in sizes.items() if y == v) for v in (1, 0))
     if not n_toxic or not n_clean:
@@ -208,7 +221,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         odds[f] = math.log(rates[f] / (1 - rates[f])) - math.log(base / (1 - base))
     model = ToxicModel(odds, drift)
     scored = rows.filter("held").select("label", "text").mapInArrow(
-        _scored_sample(model), "label int, n long, scores array<double>, words array<double>").collect()
+        _scored_sample(model), "label int, n long, best double, words array<double>").collect()
     clean = [r for r in scored if not r["label"] and r["n"]]
     histogram: Counter = Counter()
     for r in clean:
@@ -218,10 +231,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         values = np.array(list(histogram))
         share = np.array(list(histogram.values())) / sum(histogram.values())
         model.scale = _scale(values, share)
-        best = [model.scale * max(r["scores"], default=0.0) - math.log(r["n"]) for r in clean]
+        best = [model.scale * r["best"] - math.log(r["n"]) for r in clean]
         model.place = float(np.mean(best)) - EULER
-    x = np.array([model.evidence(r["n"], [(s, 0, 0) for s in r["scores"]]) for r in scored]).reshape(-1, 2)
-    y = np.array([r["label"] for r in scored], float)
+    judged = rows.filter("held").select("label", "text").mapInArrow(_evidence(model), "label int, best double, total double").collect()
+    x = np.array([(r["best"], r["total"]) for r in judged]).reshape(-1, 2)
+    y = np.array([r["label"] for r in judged], float)
     if 0 < y.sum() < len(y):
         model.weights = tuple(map(float, _logistic(x, y)))
     else:

@@ -236,7 +236,7 @@ def test_clashing_surrogates_are_drawn_again(spark, monkeypatch):
         return run
 
     entities = spark.createDataFrame([("ip", f"{i}") for i in range(12)] + [("email", "3")], "kind string, canonical string")
-    late = {(r.kind, r.canonical): r.attempt for r in surrogates.settle(entities, b"k", narrow, rounds=60).collect()}
+    late = {(r.kind, r.canonical): r.attempt for r in surrogates.settle(entities, b"k", narrow).collect()}
     made = {}
     for kind, c in [("ip", f"{i}") for i in range(12)] + [("email", "3")]:
         made[kind, c] = f"{(len(c) * 7 + ord(c[-1]) + 13 * late.get((kind, c), 0)) % 30}"
