@@ -164,6 +164,14 @@ def h8_monotonic_bins(spark, sf):
     return _rounded_bins(woe.monotonic_bins(train, "TARGET", MODEL_COLUMNS))
 
 
+#: Pre-bins of the optimal bins; SQL tries all ways to join them.
+PREBINS = 12
+
+
+def h8_optimal_bins(spark, sf):
+    return _rounded_bins(woe.optimal_bins(returned_lines(spark, sf), "returned", LINE_NUMBERS, PREBINS, decimals=6))
+
+
 def h9_woe_transform(spark, sf):
     lines = returned_lines(spark, sf)
     bins = materialize(woe.woe_tables(lines, "returned", _edges(spark, sf), ["l_linestatus"]), "bins")
@@ -270,7 +278,8 @@ QUERIES = {
     b5_zero_fill, b6_ratios_in_sql, b7_model_features, b8_median_imputation, b9_standardize, b10_transaction_rules,
     b12_clip_probability, c1_applicant_features, d1_history_aggregates, d2_prior_aggregates, d3_latest_amount,
     h1_quantile_bins, h2_woe_numeric, h3_woe_categorical, h4_woe_from_counts, h5_iv_ranking, a4_ranking_csv,
-    e6_ranking_head, h6_iv_strength, h7_feature_selection, h8_monotonic_bins, h9_woe_transform, c2_bin_lookup,
+    e6_ranking_head, h6_iv_strength, h7_feature_selection, h8_monotonic_bins, h8_optimal_bins, h9_woe_transform,
+    c2_bin_lookup,
     q5_monotone_share, h10_scorecard_fit, h11_scorecard_proba, h12_pdo_scale, h13_score_points, h14_points_table,
     k1_zscore_contributions, k2_linear_contributions, k4_group_contributions, k5_reason_codes, k6_notices,
 )}
@@ -366,6 +375,28 @@ ORACLES = {
         {sql.woe_ctes('part_known', 'quality', [], ['source'])} SELECT feature, CAST(bin_index AS INTEGER) AS bin_index,
         CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, category, n, n_bad, round(woe, 6) AS woe,
         round(iv_contribution, 6) AS iv_contribution FROM woe_rows""",
+    "h8_optimal_bins": f"""{_LINES.replace("WITH ", "WITH RECURSIVE ", 1)} {sql.woe_ctes('lines', 'returned', LINE_NUMBERS, [], PREBINS)},
+        pre AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY bin_index) - 1 AS r,
+                       sum(n) OVER (PARTITION BY feature) AS whole FROM woe_rows WHERE bin_index >= 0),
+        joined AS (SELECT a.feature, a.r AS first, b.r AS last, a.lo, b.hi, sum(c.n) AS n, sum(c.n_bad) AS n_bad
+                   FROM pre a JOIN pre b ON a.feature = b.feature AND a.r <= b.r
+                   JOIN pre c ON c.feature = a.feature AND c.r BETWEEN a.r AND b.r
+                   GROUP BY ALL HAVING sum(c.n) >= 0.05 * max(c.whole) OR count(*) = max((SELECT count(*) FROM pre p WHERE p.feature = a.feature))),
+        segment AS (SELECT j.*, ln(((n - n_bad + 0.5) / (g + 0.5)) / ((n_bad + 0.5) / (p + 0.5))) AS woe,
+                           ((n - n_bad + 0.5) / (g + 0.5) - (n_bad + 0.5) / (p + 0.5))
+                           * ln(((n - n_bad + 0.5) / (g + 0.5)) / ((n_bad + 0.5) / (p + 0.5))) AS iv FROM joined j, totals),
+        way AS (SELECT feature, last, n, n_bad, iv, d, [first] AS firsts FROM segment, (VALUES (1), (-1)) v(d) WHERE first = 0
+                UNION ALL
+                SELECT w.feature, s.last, s.n, s.n_bad, w.iv + s.iv, d, list_append(firsts, s.first) FROM way w
+                JOIN segment s ON s.feature = w.feature AND s.first = w.last + 1 AND d * (s.n_bad * w.n - w.n_bad * s.n) > 0),
+        chosen AS (SELECT feature, list_append(firsts, last + 1) AS cuts FROM (SELECT *, row_number() OVER (
+                       PARTITION BY feature ORDER BY iv DESC, len(firsts)) AS place FROM way
+                       WHERE last = (SELECT max(r) FROM pre p WHERE p.feature = way.feature)) WHERE place = 1),
+        placed AS (SELECT feature, cuts, unnest(range(1, len(cuts))) AS i FROM chosen)
+        SELECT feature, CAST(i - 1 AS INTEGER) AS bin_index, lo, hi, CAST(NULL AS VARCHAR) AS category, CAST(n AS BIGINT) AS n,
+               CAST(n_bad AS BIGINT) AS n_bad, round(woe, 6) AS woe, round(iv, 6) AS iv_contribution
+        FROM placed JOIN segment s USING (feature) WHERE s.first = cuts[i] AND s.last = cuts[i + 1] - 1
+        UNION ALL SELECT {_BINS_OUT.replace("FROM woe_rows", "FROM woe_rows WHERE bin_index = -1")}""",
     "h4_woe_from_counts": f"""{sql.APPLICANTS}, {sql.woe_ctes('applicants', 'TARGET', [], ['NAME_INCOME_TYPE']).lstrip()}
         SELECT category AS NAME_INCOME_TYPE, n, n_bad, round(woe, 6) AS woe,
                round(iv_contribution, 6) AS iv_contribution FROM woe_rows""",

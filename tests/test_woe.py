@@ -134,3 +134,48 @@ def test_nan_is_missing_in_bins_by_value(spark):
     assert {r["category"]: r["n"] for r in bins.collect()} == {"1.0": 2, "2.0": 1, "MISSING": 2}
     coded = woe.woe_transform(df, bins, [], ["x"]).where("x IS NULL OR isnan(x)").select("x_woe").distinct()
     assert coded.count() == 1
+
+
+# --------------------------------------------------------------------------- optimal bins
+def _all_ways(n, bad, totals, min_share, max_bins):
+    """The highest value by trying every set of cuts."""
+    m, best = len(n), None
+    for mask in range(2 ** (m - 1)):
+        cuts = [0, *[i + 1 for i in range(m - 1) if mask >> i & 1], m]
+        parts = [(sum(n[a:b]), sum(bad[a:b])) for a, b in zip(cuts, cuts[1:])]
+        gaps = [b2 * n1 - b1 * n2 for (n1, b1), (n2, b2) in zip(parts, parts[1:])]
+        if not (all(g > 0 for g in gaps) or all(g < 0 for g in gaps)) or len(parts) > (max_bins or m):
+            continue
+        if len(parts) > 1 and min(p[0] for p in parts) < min_share * sum(n):
+            continue
+        value = sum(woe.information(*p, totals) for p in parts)
+        best = value if best is None or value > best else best
+    return best
+
+
+def test_optimal_cuts_equal_exhaustive_search():
+    import random
+
+    draw = random.Random(4)
+    for case in range(40):
+        m = draw.randint(1, 12)
+        n = [draw.randint(1, 60) for _ in range(m)]
+        bad = [draw.randint(0, min(c, 3 + 5 * i if case % 2 else c)) for i, c in enumerate(n)]
+        totals, share, most = (sum(bad), sum(n) - sum(bad)), draw.choice([0, 0.05, 0.2]), draw.choice([None, 2, 4])
+        cuts = woe.best_cuts(n, bad, totals, share, most)
+        parts = [(sum(n[a:b]), sum(bad[a:b])) for a, b in zip(cuts, cuts[1:])]
+        assert cuts[0] == 0 and cuts[-1] == m and len(parts) <= (most or m)
+        assert sum(woe.information(*p, totals) for p in parts) == pytest.approx(_all_ways(n, bad, totals, share, most), abs=1e-12)
+
+
+def test_optimal_bins_are_worth_no_less_than_pooled_ones(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 17 != 0, F.col("id") * 7919 % 1000).cast("double").alias("x"), (F.col("id") * 31 % 97).cast("double").alias("z"),
+        ((F.col("id") * 7919 % 1000 + F.col("id") * 104729 % 900) > 1100).cast("int").alias("y"))
+    pooled, best = woe.monotonic_bins(df, "y", ["x", "z"]), woe.optimal_bins(df, "y", ["x", "z"], min_share=0)
+    value = lambda bins: {r["feature"]: r["iv"] for r in bins.where("bin_index >= 0").groupBy("feature").agg(F.sum("iv_contribution").alias("iv")).collect()}
+    for f, iv in value(pooled).items():
+        assert value(best)[f] >= iv - 1e-12
+    few = woe.optimal_bins(df, "y", ["x"], max_bins=3).collect()
+    assert sum(r["n"] for r in few) == 3000 and sum(r["bin_index"] >= 0 for r in few) <= 3
+    assert [r["n"] for r in few if r["bin_index"] == -1] == [177]
