@@ -16,6 +16,7 @@ from riskweave.operators import vector_index as vi
 from riskweave.plans.retrieval_report import build_index, evaluate, export_chunk_store
 from riskweave.session import materialize, work_folder
 from riskweave.sources.tables import spread
+from riskweave.streaming import ingest as ig
 
 ORDER = ["doc_id"]
 
@@ -37,6 +38,20 @@ def a4_chunk_store(spark, sf):
     return stored.groupBy("source").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum(F.length("text")).alias("n_chars"))
 
 
+def a5_corpus_ingest(spark, sf):
+    """Every document arrives twice in files: first some with another text and some that go again, then all as they are."""
+    arrivals, store, checkpoint = (work_folder(spark, name) for name in ("arrivals", "chunk-store", "ingest-checkpoint"))
+    files = spark.sparkContext.defaultParallelism
+    docs = corpus(spark, sf).select("source", F.lit(2).cast("long").alias("number"), "text")
+    draw = F.xxhash64("source")
+    first = docs.withColumns({"number": F.lit(1).cast("long"), "text": F.when(draw % 3 == 0, F.reverse("text")).otherwise(F.col("text"))})
+    gone = docs.withColumn("source", F.concat(F.lit("gone-"), "source")).where(draw % 5 == 0)
+    for changes in (first.unionByName(gone.withColumn("number", F.lit(1).cast("long"))), docs.unionByName(gone.withColumn("text", F.lit(None).cast("string")))):
+        changes.repartition(files).write.mode("append").parquet(arrivals)
+        ig.ingest(ig.read_changes(spark, arrivals), store, checkpoint).awaitTermination()
+    return ig.read_store(spark, store).select("id", "source", "ordinal", "text")
+
+
 def a6_golden_set(spark, sf):
     return gold_sources(spark, sf)
 
@@ -229,7 +244,7 @@ def r16_evaluation_report(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    a4_chunk_store, a6_golden_set, b11_tokens, r1_chunks, r1_chunks_every_boundary, r2_index_stats, q6_chunk_sanity,
+    a4_chunk_store, a5_corpus_ingest, a6_golden_set, b11_tokens, r1_chunks, r1_chunks_every_boundary, r2_index_stats, q6_chunk_sanity,
     r3_hash_embedding, c3_best_similarity, c4_best_token_match, r4_vector_retrieval, r4_indexed_retrieval,
     r4_index_recall, r6_lexical_retrieval, r6_indexed_retrieval,
     e7_top_k_chunks, r5_dense_retrieval, r7_grade_hits, r8_extract_answers, r9_groundedness, r10_rewrite,
@@ -271,6 +286,7 @@ _LOOP = f"""{_TURNS},
 ORACLES = {
     "a4_chunk_store": f"""{_CHUNKS} SELECT source, count(*) AS n_chunks, CAST(sum(length(text)) AS BIGINT) AS n_chars
         FROM corpus GROUP BY 1""",
+    "a5_corpus_ingest": f"{_CHUNKS} SELECT id, source, ordinal, text FROM corpus",
     "a6_golden_set": f"WITH {sql.GOLD} SELECT * FROM gold",
     "b11_tokens": f"""SELECT doc_id, CAST(len({sql.tokens('text')}) AS INTEGER) AS n_tokens,
         CAST(len(list_distinct({sql.tokens('text')})) AS INTEGER) AS n_distinct,

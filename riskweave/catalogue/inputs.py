@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,7 +155,7 @@ def gold_sources(spark: SparkSession, sf: str) -> DataFrame:
     The second to seventh token of a passage are whole tokens wherever it occurs,
     so documents and passages meet in an equi-join on such runs of tokens, and only
     those pairs are compared as text. Passages of fewer than eight tokens meet on their
-    second token; those of one or two hold no token that is surely whole, and are not looked for.
+    second token; those of fewer than three hold no token that is surely whole, so blocks of them travel to the texts.
     """
     asked = passages(spark, sf)
     anchors = asked.withColumn("_t", tokens("question")).select(
@@ -171,5 +173,22 @@ def gold_sources(spark: SparkSession, sf: str) -> DataFrame:
         by_token = words.select("doc_id", F.explode(F.array_distinct("_t")).alias("second")).join(
             brief.select("query_id", "question", "second"), "second")
         found = found.unionByName(by_token.drop("second"))
-    pairs = found.join(corpus(spark, sf), "doc_id").where(F.contains("text", "question"))
-    return pairs.select("query_id", "source")
+    pairs = found.join(corpus(spark, sf), "doc_id").where(F.contains("text", "question")).select("query_id", "source")
+    return reduce(DataFrame.unionByName, [pairs, *_tiny_passages(anchors.where("n < 3 and question is not null"), corpus(spark, sf))])
+
+
+#: Passages of fewer than three tokens that one pass over the texts looks for.
+TINY_BLOCK = 500
+
+
+def _tiny_passages(tiny: DataFrame, texts: DataFrame) -> list[DataFrame]:
+    """``query_id, source`` of passages found as they stand, a pass over the texts for each block of them."""
+    count = tiny.count()
+    found = []
+    for block in range(-(-count // TINY_BLOCK)):
+        own = tiny if count <= TINY_BLOCK else tiny.where(F.pmod(F.xxhash64("query_id"), F.lit(-(-count // TINY_BLOCK))) == block)
+        asked = [F.struct(F.lit(r["query_id"]).alias("query_id"), F.lit(r["question"]).alias("question")) for r in own.collect()]
+        if asked:
+            inside = F.filter(F.array(*asked), lambda p: F.contains("text", p["question"]))
+            found.append(texts.select("source", F.explode(inside).alias("p")).select("p.query_id", "source"))
+    return found

@@ -1,8 +1,13 @@
-"""Parameters and metrics of runs, appended to one parquet table."""
+"""Parameters and metrics of runs: a log of entries that are created once, and snapshots that join them."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskweave.sources.commits import commit, read_entry, update, versions
 
 RUN_SCHEMA = "experiment string, run string, kind string, key string, value string"
 
@@ -15,15 +20,49 @@ def append_run(
     params: dict | None = None,
     metrics: dict | None = None,
     prefix: str = "",
-) -> None:
-    """Append one row per parameter and per metric; ``prefix`` goes before metric names."""
-    rows = [(experiment, run, "param", key, str(value)) for key, value in (params or {}).items()]
+) -> int:
+    """Add one row per parameter and per metric, all or none; ``prefix`` goes before metric names.
+
+    Returns the entry's version. Of runs logged at once each gets a version of its own.
+    """
+    rows = [{"kind": "param", "key": key, "value": str(value)} for key, value in (params or {}).items()]
     rows += [
-        (experiment, run, "metric", f"{prefix}{key}", None if value is None else repr(float(value)))
+        {"kind": "metric", "key": f"{prefix}{key}", "value": None if value is None else repr(float(value))}
         for key, value in (metrics or {}).items()
     ]
-    spark.createDataFrame(rows, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    return commit(spark, f"{path}/log", {"experiment": experiment, "run": run, "rows": rows})
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_SCHEMA).parquet(path)
+    """All rows logged: those of the latest snapshot and of the entries behind it."""
+    snapshot = read_entry(spark, f"{path}/snapshots")
+    upto = snapshot[1]["upto"] if snapshot else 0
+    joined = spark.read.schema(RUN_SCHEMA).parquet(snapshot[1]["uri"]) if snapshot else spark.createDataFrame([], RUN_SCHEMA)
+    later = [place for version, place in sorted(versions(spark, f"{path}/log").items()) if version > upto]
+    if not later:
+        return joined
+    entries = spark.read.schema(
+        "experiment string, run string, rows array<struct<kind:string,key:string,value:string>>").json(later)
+    return joined.unionByName(entries.select("experiment", "run", F.inline("rows")))
+
+
+def compact_runs(spark: SparkSession, path: str) -> int:
+    """Join all entries so far into one table, so that reading doesn't open a file per run; returns the last version in it.
+
+    Entries that are added meanwhile stay behind the snapshot, and of two compactions the one that has seen more counts.
+    """
+    upto = max(versions(spark, f"{path}/log"), default=0)
+    uri = f"{path}/joined/{uuid.uuid4().hex[:12]}"
+    runs = read_runs_upto(spark, path, upto)
+    runs.coalesce(1).write.parquet(uri)
+    return update(spark, f"{path}/snapshots", lambda version, entry: entry if entry and entry["upto"] >= upto else {"uri": uri, "upto": upto})[1]["upto"]
+
+
+def read_runs_upto(spark: SparkSession, path: str, upto: int) -> DataFrame:
+    """The rows of the entries up to a version."""
+    places = [place for version, place in sorted(versions(spark, f"{path}/log").items()) if version <= upto]
+    if not places:
+        return spark.createDataFrame([], RUN_SCHEMA)
+    entries = spark.read.schema(
+        "experiment string, run string, rows array<struct<kind:string,key:string,value:string>>").json(places)
+    return entries.select("experiment", "run", F.inline("rows"))
