@@ -16,6 +16,7 @@ from riskweave.operators.split import stable_split
 from riskweave.session import work_folder
 from riskweave.sources.accounting import rows_processed
 from riskweave.sources.runlog import append_run, read_runs
+from riskweave.streaming import history as hs
 from riskweave.sources.tables import read_optional, read_table, write_report, write_table
 
 PROFILED = ("orders", "o_orderpriority", "o_orderstatus", "o_custkey")
@@ -108,6 +109,32 @@ def e3_transition_matrix(spark, sf):
     return rounded(moves, "share")
 
 
+def _followed(spark, sf):
+    """All events through the stream: a run over them, then one that a row of a later time lets finish them."""
+    arrivals, out, checkpoint = (work_folder(spark, name) for name in ("event-arrivals", "followed", "follow-checkpoint"))
+    events = table(spark, sf, "events").select("user_id", F.timestamp_micros(clock_micros("ts")).alias("ts"), "event_id", "event_type")
+    end = events.agg((F.max("ts") + F.expr("interval 1 day")).alias("ts")).select(
+        *[F.col("ts") if c == "ts" else F.lit(None).cast(events.schema[c].dataType).alias(c) for c in events.columns])
+    before = spark.conf.get(hs.STATE_STORE[0], None)
+    spark.conf.set(*hs.STATE_STORE)
+    try:
+        for rows in (events.where("user_id is not null"), end):
+            rows.write.mode("append").parquet(arrivals)
+            stream = spark.readStream.schema(events.schema).parquet(arrivals)
+            hs.follow(stream, "user_id", "ts", "event_id", "event_type", SOME_DAYS, out, checkpoint).awaitTermination()
+    finally:
+        spark.conf.set(hs.STATE_STORE[0], before) if before else spark.conf.unset(hs.STATE_STORE[0])
+    return spark.read.parquet(out)
+
+
+def e2_rolling_stream(spark, sf):
+    return hs.counts_of(_followed(spark, sf), "user_id")
+
+
+def e3_transition_stream(spark, sf):
+    return rounded(hs.transitions_of(_followed(spark, sf)), "share")
+
+
 def q1_required_columns(spark, sf):
     return pf.required_columns(feature_table(spark, sf), list(REQUIRED))
 
@@ -130,7 +157,7 @@ def q4_split_integrity(spark, sf):
 QUERIES = {f.__name__: f for f in (
     a1_scan_csv, a2_optional_tables, a3_feature_sink, a7_rows_processed, a8_run_log, d4_positive_weight,
     d5_class_weights, d6_class_rates, d7_distinct_counts, d8_exact_median, d9_null_rates, d10_target_correlations,
-    d11_table_profile, e1_recency_rank, e2_rolling_count, e3_transition_matrix, q1_required_columns,
+    d11_table_profile, e1_recency_rank, e2_rolling_count, e2_rolling_stream, e3_transition_matrix, e3_transition_stream, q1_required_columns,
     q2_class_rate_bounds, q3_leakage_check, q4_split_integrity,
 )}
 
@@ -217,3 +244,4 @@ ORACLES = {
                CAST(0 AS BIGINT) AS n_lost,
                count(*) FILTER (TARGET = 1 AND {sql.is_test('SK_ID_CURR')}) AS n_test_pos FROM applicants""",
 }
+ORACLES |= {"e2_rolling_stream": ORACLES["e2_rolling_count"], "e3_transition_stream": ORACLES["e3_transition_matrix"]}
