@@ -60,7 +60,7 @@ class Snapshot:
     """The digests that a batch brought, and its filters; neither changes any more."""
 
     def __init__(self, rows: DataFrame, per_bucket: int):
-        self.rows = rows
+        self.rows, self.per_bucket = rows, per_bucket
         self.buckets = max(1, -(-rows.count() // per_bucket))
         self.filters = materialize(
             self._bucketed(rows).groupBy("bucket").applyInPandas(
@@ -71,9 +71,14 @@ class Snapshot:
         return rows.select("sha", key.alias("key"), F.pmod(F.xxhash64(key), F.lit(self.buckets)).alias("bucket"))
 
     def screened(self, groups: DataFrame) -> DataFrame:
-        """The digests that may be in the snapshot: all that are, and about one in 256 others."""
-        return self._bucketed(groups).groupBy("bucket").cogroup(self.filters.groupBy("bucket")).applyInPandas(
-            _screen, "sha binary")
+        """The digests that may be in the snapshot: all that are, and about one in 256 others.
+
+        Where more come in than the snapshot has, a bucket's digests are dealt out, each part with the filter.
+        """
+        parts = max(1, -(-groups.count() // (self.buckets * self.per_bucket)))
+        incoming = self._bucketed(groups).withColumn("part", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(parts)))
+        filters = self.filters.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+        return incoming.groupBy("bucket", "part").cogroup(filters.groupBy("bucket", "part")).applyInPandas(_screen, "sha binary")
 
 
 def _with_equal_bytes(docs: DataFrame, matches: DataFrame) -> DataFrame:
@@ -150,10 +155,12 @@ def keep_one(df: DataFrame, batch: Column, batches: int, key: str = "doc_id", te
     # ids that repeat or are missing: the digest tells which of their rows stays
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     digest = F.sha2(F.translate(text_or_empty(text), letters, letters.lower()).cast("binary"), 256)
-    stays = judged.filter("kept").select(F.col("doc_id").alias("_stays"), F.col("text_sha256").alias("_of"))
-    rows = df.withColumn("_id", F.col(key).cast("long")).withColumn("_digest", digest).dropDuplicates(["_id", "_digest"])
-    same = F.col("_id").eqNullSafe(F.col("_stays")) & (F.col("_digest") == F.col("_of"))
-    return rows.join(stays, same, "left_semi").select(df.columns)
+    no_column = "_" * (1 + max(map(len, df.columns)))  # longer than any column's name
+    own, of, stays_id, stays_of = [no_column + name for name in ("id", "of", "stays_id", "stays_of")]
+    stays = judged.filter("kept").select(F.col("doc_id").alias(stays_id), F.col("text_sha256").alias(stays_of))
+    rows = df.withColumn(own, F.col(f"`{key}`").cast("long")).withColumn(of, digest).dropDuplicates([own, of])
+    same = F.col(own).eqNullSafe(F.col(stays_id)) & (F.col(of) == F.col(stays_of))
+    return rows.join(stays, same, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.llm import language, surrogates, toxicity
-from riskweave.llm.common import drawn
+from riskweave.llm import exact, language, surrogates, toxicity
+from riskweave.llm.common import crc_of, drawn
 
 
 def test_a_sample_of_a_very_large_table_is_not_empty(spark):
@@ -65,3 +65,29 @@ def test_later_attempts_are_longer_and_of_their_kind(kind, original, canonical):
         assert "".join(c for c in shown if c.isdigit()) == late.lstrip("+")
     if kind == "card":
         assert surrogates.luhn(late)
+
+
+def test_columns_of_any_name_stay_where_ids_repeat(spark):
+    names = ["_id", "_digest", "_stays", "_of", "doc_id", "text", "batch", "sha"]
+    rows = [("mongo-1", "d", "s", "o", 1, "same text", 5, "x"), ("mongo-2", "d", "s", "o", 2, "SAME text", 5, "x"),
+            ("mongo-3", "d", "s", "o", 2, "other", 5, "x"), ("mongo-4", "d", "s", "o", None, "third", 5, "x")]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {'long' if n in ('doc_id', 'batch') else 'string'}" for n in names))
+    kept = exact.keep_one(df, crc_of("doc_id") % 2, 2)
+    assert kept.columns == names
+    assert sorted(r["_id"] for r in kept.collect()) == ["mongo-2", "mongo-3", "mongo-4"]
+
+
+def test_more_incoming_digests_than_the_snapshot_has_are_dealt_out(spark, monkeypatch):
+    """An empty first batch, then many: no group of the screen holds more than its share."""
+    df = spark.createDataFrame([(i, f"text {i % 700}", 1 if i else 0) for i in range(1000)], "doc_id long, text string, b int")
+    groups = []
+    deal = exact.Snapshot.screened
+
+    def seen(self, incoming):
+        groups.append(-(-incoming.count() // (self.buckets * self.per_bucket)))
+        return deal(self, incoming)
+
+    monkeypatch.setattr(exact.Snapshot, "screened", seen)
+    found = exact.exact_duplicates(df, F.col("b"), 2, per_bucket=10).collect()
+    assert groups[0] >= 70
+    assert len(found) == 1000 and sum(r["kept"] for r in found) == 700
