@@ -138,6 +138,17 @@ def _sets(terms: Terms):
     return run
 
 
+def _digested_sets(terms: Terms):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = held("word hashes", _word_hashes)
+        for batch in batches:
+            blobs = [shingles(text.as_py(), terms.words, memo).tobytes() for text in batch.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([xxhash.xxh3_128_digest(s) for s in blobs], pa.binary()), pa.array(blobs, pa.binary())], ["digest", "items"])
+
+    return run
+
+
 def linked_pairs(sets: list[np.ndarray], side: np.ndarray, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i, j) that reach the threshold, within one block (all sides 0) or between two.
 
@@ -249,7 +260,8 @@ def jaccard_join(df: DataFrame, terms: Terms = Terms(), key: str = "doc_id", tex
     reach the threshold with it, ``n_linked_docs`` the documents in them, ``n_copies`` the documents of its own class. A
     group is what links connect, under its least id. Texts without a word, null ones too, have no n-gram and no link: each
     is its own class. Texts with fewer words than an n-gram needs have one n-gram of all their words. Rows repeated with
-    id and text are one document.
+    id and text are one document. Rows without an id are documents by their set of n-grams; they have links like others, a
+    class that has no other rows has no id, and a group has the least id in it, none if no row has one.
     """
     docs = keyed(df, key, text)
     shape = "doc_id long, digest binary, n int, bands array<long>"
@@ -259,8 +271,8 @@ def jaccard_join(df: DataFrame, terms: Terms = Terms(), key: str = "doc_id", tex
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_copies"))
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     # each band of a class that another class has too ties it to the least of them
-    banded = sketched.select("doc_id", "digest", "bands").join(
-        classes.select("digest", "node", F.col("class_id").alias("doc_id")), ["digest", "doc_id"]).select(
+    standing = classes.select(F.col("digest").alias("class_digest"), "node", "class_id")
+    banded = sketched.join(standing, (F.col("digest") == F.col("class_digest")) & F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
         "node", F.explode("bands").alias("band"))
     banded = materialize(banded, "bands")
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("other")).filter("hub < other")
@@ -276,6 +288,10 @@ def jaccard_join(df: DataFrame, terms: Terms = Terms(), key: str = "doc_id", tex
     wanted = members.select("doc_id").distinct()
     sets = only_ids(docs, wanted).join(members.select("doc_id", "node", "digest"), "doc_id").select("text", "node", "digest").mapInArrow(
         _sets(terms), "node long, items binary")
+    if not members.filter("doc_id IS NULL").isEmpty():  # missing ids say nothing, the digest tells which texts are meant
+        unnamed = docs.filter("doc_id IS NULL").select("text").mapInArrow(_digested_sets(terms), "digest binary, items binary")
+        sets = sets.unionByName(unnamed.join(members.filter("doc_id IS NULL").select("digest", "node"), "digest").select(
+            "node", "items").dropDuplicates(["node"]))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
     dealt = sets.join(members.select("node", "root", "blocks", "n_copies"), "node").withColumn("mine", mine).withColumn(
         "theirs", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
