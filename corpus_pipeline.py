@@ -29,9 +29,18 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 or more in word 5-grams, directly or over others, the one with the least id."""
-    gone = jaccard_join(docs).filter("doc_id <> group_id").select("doc_id")
-    return without_ids(docs, materialize(gone, "dropped-ids"))
+    """Of documents linked by a similarity of 0.8 or more in word 5-grams, directly or over others, the one with the least id.
+
+    Rows that share an id with another text are documents of their own, as are rows without an id, which come last.
+    """
+    n, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    key, rows = "doc_id", docs
+    if n != ids:  # numbers in the order of ids and texts stand for them
+        key = "_" * (1 + max(map(len, docs.columns)))  # longer than any column's name
+        order = [F.col("doc_id").asc_nulls_last(), F.sha2("text", 256)]
+        rows = materialize(docs.orderBy(*order).withColumn(key, F.monotonically_increasing_id()), "numbered-documents")
+    gone = jaccard_join(rows, key=key).filter("doc_id <> group_id").select(F.col("doc_id").alias(key))
+    return without_ids(rows, materialize(gone, "dropped-ids"), key).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
