@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.llm import exact, language, surrogates, toxicity
+import corpus_pipeline
+from riskweave.llm import exact, jaccard, language, surrogates, toxicity
 from riskweave.llm.common import crc_of, drawn
 
 
@@ -91,3 +92,31 @@ def test_more_incoming_digests_than_the_snapshot_has_are_dealt_out(spark, monkey
     found = exact.exact_duplicates(df, F.col("b"), 2, per_bucket=10).collect()
     assert groups[0] >= 70
     assert len(found) == 1000 and sum(r["kept"] for r in found) == 700
+
+
+WORDS = " ".join(f"word{i}" for i in range(60))
+NEAR = [f"{WORDS} tail{k}" for k in range(4)]
+
+
+@pytest.mark.parametrize("ids, want", [
+    ((1, 5, 7, 9), {1: (3, 1), 5: (3, 1), 7: (3, 1), 9: (3, 1)}),
+    ((None, 5, None, 9), {None: (3, 5), 5: (3, 5), 9: (3, 5)}),
+    ((None, None, None, None), {None: (3, None)})])
+def test_missing_ids_lose_no_links(spark, ids, want):
+    rows = [*zip(ids, NEAR), (40, "something else entirely that stands alone here"), (None, "another text that stands for itself too")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [r for r in jaccard.jaccard_join(df).collect() if r["n_links"]]
+    assert len(found) == 4
+    assert all((r["n_links"], r["group_id"]) == want[r["doc_id"]] for r in found)
+
+
+def test_near_copies_go_by_row_where_ids_repeat_or_are_missing(spark):
+    rows = [(3, NEAR[0], "a"), (5, NEAR[1], "b"), (5, "a clean text of its own under the same id five", "c"), (None, NEAR[2], "d"),
+            (None, "clean words without any id at all stand here", "e"), (3, "also a clean text that shares the id three", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id string")
+    kept = corpus_pipeline.ngram_jaccard_join(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r["_id"] for r in kept.collect()) == ["a", "c", "e", "f"]
+    unnamed = spark.createDataFrame([(None, t, str(i)) for i, t in enumerate(NEAR)], "doc_id long, text string, _id string")
+    assert corpus_pipeline.ngram_jaccard_join(spark, unnamed, "").count() == 1
+    assert corpus_pipeline.ngram_jaccard_join(spark, docs.limit(0), "").collect() == []
