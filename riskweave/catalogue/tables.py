@@ -11,9 +11,10 @@ from riskweave.catalogue.inputs import (
 from riskweave.functions.time import clock_micros, clock_seconds
 from riskweave.operators import features as ft
 from riskweave.operators import profile as pf
+from riskweave.operators import sketches as sk
 from riskweave.operators.ordered import exact_quantiles
 from riskweave.operators.split import stable_split
-from riskweave.session import work_folder
+from riskweave.session import materialize, work_folder
 from riskweave.sources.accounting import rows_processed
 from riskweave.sources.runlog import append_run, read_runs
 from riskweave.streaming import history as hs
@@ -74,6 +75,43 @@ def d7_distinct_counts(spark, sf):
     return pf.distinct_counts(table(spark, sf, PROFILED[0]), list(PROFILED[1:]))
 
 
+SKETCHED, SKETCHED_RANGE, DECILES = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipmode_status"), (9, 20), [i / 10 for i in range(1, 10)]
+#: So many standard errors a distinct count may be off.
+ERRORS = 4
+
+
+def _line_months(spark, sf):
+    """Lines with the number of the month they were shipped in, and their stored sketches by month."""
+    lines = table(spark, sf, "lineitem").withColumns({
+        "l_shipmode_status": F.concat_ws("-", "l_returnflag", "l_linestatus"), "month": F.month("l_shipdate") + F.year("l_shipdate") % 2 * 12})
+    path = work_folder(spark, "sketches")
+    sk.table_sketches(lines, F.col("month"), list(SKETCHED)).write.partitionBy("part").parquet(path)
+    within = lambda c: F.col(c).between(*SKETCHED_RANGE)
+    return lines.where(within("month")), spark.read.parquet(path).where(within("part"))
+
+
+def d7_sketched_distinct(spark, sf):
+    """Distinct values of a range of months from stored sketches, against the exact counts."""
+    lines, sketches = _line_months(spark, sf)
+    exact = pf.distinct_counts(lines, list(SKETCHED)).withColumnRenamed("n_distinct", "exact")
+    off = F.abs(F.col("n_distinct") - F.col("exact")) / F.col("exact")
+    return sk.distinct_counts(sketches).join(exact, "column").select(
+        "column", "n", F.col("exact").alias("n_distinct"), (off <= ERRORS * sk.distinct_error()).alias("within_error"))
+
+
+def h1_sketched_quantiles(spark, sf):
+    """Deciles of a range of months from stored sketches: the share of rows below and up to each must enclose it."""
+    lines, sketches = _line_months(spark, sf)
+    found = materialize(sk.sketched_quantiles(sketches, DECILES), "deciles")
+    values = lines.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in SKETCHED[:4]])))
+    # nine deciles of four columns: a small table
+    ranks = values.join(F.broadcast(found), "column").groupBy("column", "probability").agg(
+        F.avg((F.col("x") < F.col("value")).cast("double")).alias("below"), F.avg((F.col("x") <= F.col("value")).cast("double")).alias("upto"))
+    error = 2 * sk.rank_error()
+    return ranks.select("column", "probability", F.lit(True).eqNullSafe(
+        (F.col("below") - error <= F.col("probability")) & (F.col("probability") <= F.col("upto") + error)).alias("within_error"))
+
+
 def d8_exact_median(spark, sf):
     lines = table(spark, sf, "lineitem")
     cols = ["l_extendedprice", "l_quantity", "l_discount"]
@@ -156,7 +194,7 @@ def q4_split_integrity(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     a1_scan_csv, a2_optional_tables, a3_feature_sink, a7_rows_processed, a8_run_log, d4_positive_weight,
-    d5_class_weights, d6_class_rates, d7_distinct_counts, d8_exact_median, d9_null_rates, d10_target_correlations,
+    d5_class_weights, d6_class_rates, d7_distinct_counts, d7_sketched_distinct, h1_sketched_quantiles, d8_exact_median, d9_null_rates, d10_target_correlations,
     d11_table_profile, e1_recency_rank, e2_rolling_count, e2_rolling_stream, e3_transition_matrix, e3_transition_stream, q1_required_columns,
     q2_class_rate_bounds, q3_leakage_check, q4_split_integrity,
 )}
@@ -245,3 +283,11 @@ ORACLES = {
                count(*) FILTER (TARGET = 1 AND {sql.is_test('SK_ID_CURR')}) AS n_test_pos FROM applicants""",
 }
 ORACLES |= {"e2_rolling_stream": ORACLES["e2_rolling_count"], "e3_transition_stream": ORACLES["e3_transition_matrix"]}
+_MONTHS = f"""WITH l AS (SELECT *, l_returnflag || '-' || l_linestatus AS l_shipmode_status FROM lineitem
+    WHERE month(l_shipdate) + year(l_shipdate) % 2 * 12 BETWEEN {SKETCHED_RANGE[0]} AND {SKETCHED_RANGE[1]})"""
+ORACLES |= {
+    "d7_sketched_distinct": _MONTHS + " UNION ALL ".join(
+        f" SELECT '{c}' AS \"column\", count({c}) AS n, count(DISTINCT {c}) AS n_distinct, TRUE AS within_error FROM l" for c in SKETCHED),
+    "h1_sketched_quantiles": "SELECT c AS \"column\", CAST(p AS DOUBLE) AS probability, TRUE AS within_error FROM "
+        f"(SELECT unnest({list(SKETCHED[:4])}) AS c), (SELECT unnest({DECILES}) AS p)",
+}
