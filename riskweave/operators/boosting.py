@@ -177,7 +177,7 @@ def _edges(train: DataFrame, features: list[str]) -> list[np.ndarray]:
     return [np.unique(np.array(e, float)) for e in found]
 
 
-def _packed(train: DataFrame, label: str, features: list[str], edges: list[np.ndarray], weight: float, held_out: float, seed: int) -> DataFrame:
+def _packed(train: DataFrame, label: str, features: list[str], edges: list[np.ndarray], held_out: float, seed: int) -> DataFrame:
     """Pieces of quantised rows. Equal rows are held out together."""
     values = [F.col(f).cast("double").alias(f"_{i}") for i, f in enumerate(features)]
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(label), *[F.col(f) for f in features]), F.lit(1_000_000)) < int(1_000_000 * held_out)
@@ -285,7 +285,7 @@ def fit_trees(train: DataFrame, label: str, features: list[str], weight: float =
     spark = train.sparkSession
     ensure_checkpoints(spark)
     edges = _edges(train, features)
-    packed = _packed(train, label, features, edges, weight, held_out if patience else 0.0, seed)
+    packed = _packed(train, label, features, edges, held_out if patience else 0.0, seed)
     n = packed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if not n:
         raise ValueError("no rows to learn from")

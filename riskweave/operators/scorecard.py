@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.risk import clip_probability, sigmoid
-from riskweave.operators.woe import FittedBins, collect_bins, monotonic_bins, woe_transform
+from riskweave.operators.woe import FittedBins, collect_bins, monotonic_bins, optimal_bins, woe_transform
 
 
 @dataclass(frozen=True)
@@ -59,10 +59,10 @@ class ScorecardModel:
 
 def fit_scorecard(
     train: DataFrame, target: str, features: list[str], cfg: ScorecardConfig = ScorecardConfig(), prebins: int = 20,
-    accuracy: int | None = None,
+    accuracy: int | None = None, optimal: bool = False,
 ) -> ScorecardModel:
-    """Fit on training rows only. ``regParam = 1/n`` matches a unit-strength L2 penalty on the summed loss."""
-    table = monotonic_bins(train, target, features, prebins, accuracy)
+    """Fit on training rows only; ``optimal`` takes the monotone bins of highest information value instead of pooled ones. ``regParam = 1/n`` matches a unit-strength L2 penalty on the summed loss."""
+    table = (optimal_bins if optimal else monotonic_bins)(train, target, features, prebins, accuracy=accuracy)
     bins = collect_bins(table)
     woe = [f"{f}_woe" for f in features]
     coded = woe_transform(train, bins, features).select(F.col(target).cast("double").alias("label"), *woe)

@@ -33,17 +33,22 @@ def append_run(
     return commit(spark, f"{path}/log", {"experiment": experiment, "run": run, "rows": rows})
 
 
+def _entries(spark: SparkSession, path: str, after: int = 0, upto: int | None = None) -> DataFrame:
+    """The rows of the entries with versions behind ``after`` and up to ``upto``."""
+    places = [place for version, place in sorted(versions(spark, f"{path}/log").items()) if version > after and (upto is None or version <= upto)]
+    if not places:
+        return spark.createDataFrame([], RUN_SCHEMA)
+    entries = spark.read.schema("experiment string, run string, rows array<struct<kind:string,key:string,value:string>>").json(places)
+    return entries.select("experiment", "run", F.inline("rows"))
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """All rows logged: those of the latest snapshot and of the entries behind it."""
     snapshot = read_entry(spark, f"{path}/snapshots")
-    upto = snapshot[1]["upto"] if snapshot else 0
-    joined = spark.read.schema(RUN_SCHEMA).parquet(snapshot[1]["uri"]) if snapshot else spark.createDataFrame([], RUN_SCHEMA)
-    later = [place for version, place in sorted(versions(spark, f"{path}/log").items()) if version > upto]
-    if not later:
-        return joined
-    entries = spark.read.schema(
-        "experiment string, run string, rows array<struct<kind:string,key:string,value:string>>").json(later)
-    return joined.unionByName(entries.select("experiment", "run", F.inline("rows")))
+    if snapshot is None:
+        return _entries(spark, path)
+    joined = spark.read.schema(RUN_SCHEMA).parquet(snapshot[1]["uri"])
+    return joined.unionByName(_entries(spark, path, snapshot[1]["upto"]))
 
 
 def compact_runs(spark: SparkSession, path: str) -> int:
@@ -53,16 +58,6 @@ def compact_runs(spark: SparkSession, path: str) -> int:
     """
     upto = max(versions(spark, f"{path}/log"), default=0)
     uri = f"{path}/joined/{uuid.uuid4().hex[:12]}"
-    runs = read_runs_upto(spark, path, upto)
-    runs.coalesce(1).write.parquet(uri)
+    _entries(spark, path, upto=upto).coalesce(1).write.parquet(uri)
     return update(spark, f"{path}/snapshots", lambda version, entry: entry if entry and entry["upto"] >= upto else {"uri": uri, "upto": upto})[1]["upto"]
 
-
-def read_runs_upto(spark: SparkSession, path: str, upto: int) -> DataFrame:
-    """The rows of the entries up to a version."""
-    places = [place for version, place in sorted(versions(spark, f"{path}/log").items()) if version <= upto]
-    if not places:
-        return spark.createDataFrame([], RUN_SCHEMA)
-    entries = spark.read.schema(
-        "experiment string, run string, rows array<struct<kind:string,key:string,value:string>>").json(places)
-    return entries.select("experiment", "run", F.inline("rows"))

@@ -89,3 +89,15 @@ def test_contributions_add_up_to_the_distance_from_the_mean_row(fitted):
     centre = card.intercept + sum(card.coefficients[f] * card.mean_woe[f] for f in FEATURES)
     for r in rows:
         assert sum(r[f] for f in FEATURES) == pytest.approx(r["logit"] - centre)
+
+
+def test_scorecard_on_optimal_bins(people):
+    train, test = stable_split(people, "id")
+    card = sc.fit_scorecard(train, "y", FEATURES, optimal=True)
+    rates = {}
+    for r in card.bin_table.where("bin_index >= 0").orderBy("feature", "bin_index").collect():
+        rates.setdefault(r["feature"], []).append(r["n_bad"] / r["n"])
+    for values in rates.values():
+        assert values in (sorted(values), sorted(values, reverse=True))
+    assert metric_bundle(sc.scorecard_proba(test, card), "y", "probability").first()["auc"] > 0.7
+    assert sc.points_table(card).count() == card.bin_table.where("bin_index >= 0").count() + 3
