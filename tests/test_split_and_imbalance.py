@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskweave.functions.risk import key_uniform
 from riskweave.operators import profile as pf
 from riskweave.operators.imbalance import smote
-from riskweave.operators.neighbours import nearest_neighbours
+from riskweave.operators.neighbours import nearest_neighbours, projected_neighbours
 from riskweave.operators.split import stable_split, stratified_split
 
 FEATURES = ["v0", "v1", "v2"]
@@ -126,3 +126,20 @@ def test_profile_and_checks(spark):
     assert pf.class_rate_bounds(df, "y", 0.5, 0.7).first()["ok"] and not pf.class_rate_bounds(df, "y", 0.7, 0.9).first()["ok"]
     leaks = {r["column"]: r["ok"] for r in pf.leakage_check(df, "y", ["id", "e"], 0.1).collect()}
     assert leaks == {"id": False, "e": True}
+
+
+def test_projected_neighbours_in_28_dimensions(spark):
+    draw = np.random.default_rng(5)
+    centres = draw.normal(size=(60, 28)) * 3
+    x = centres[draw.integers(0, 60, 4000)] + draw.normal(size=(4000, 28))
+    names = [f"v{i}" for i in range(28)]
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, " + ", ".join(f"{c} double" for c in names)).repartition(4)
+    found, took = projected_neighbours(df, "id", names, k=5, tables=4, block_rows=100)
+    assert took["tables"] and took["recall"] >= 0.9 and took["visits_per_row"] < 4000
+    exact = {(r["key"], r["neighbour"]) for r in nearest_neighbours(df, "id", names, 5, 100).collect()}
+    got = found.collect()
+    assert len({(r["key"], r["neighbour"]) for r in got} & exact) / len(exact) >= 0.88
+    assert len(got) == len({(r["key"], r["neighbour"]) for r in got}) and max(r["position"] for r in got) == 5
+    # a recall that buckets don't reach is met by the exact way
+    same, took = projected_neighbours(df, "id", names, k=5, tables=32, probes=1, recall=1.1, block_rows=100)
+    assert took["tables"] == 0 and {(r["key"], r["neighbour"]) for r in same.collect()} == exact
