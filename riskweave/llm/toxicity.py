@@ -169,14 +169,22 @@ def _scale(values: np.ndarray, share: np.ndarray) -> float:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Newton's steps for a logistic curve with a small penalty on all but the constant."""
+    """Newton's steps for a logistic curve with a small penalty on all but the constant; a step that doesn't lower the loss is
+    halved, as labels that the evidence separates nearly perfectly make whole steps jump to and fro."""
     a = np.hstack([np.ones((len(x), 1)), x])
     w, penalty = np.zeros(a.shape[1]), np.diag([1e-6] + [ridge] * x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -35, 35)))
-        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + penalty, a.T @ (y - p) - penalty @ w)
-        w += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-9:
+    loss_at = lambda v: float((np.logaddexp(0, a @ v) - y * (a @ v)).sum() + v @ penalty @ v / 2)
+    loss = loss_at(w)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -500, 500)))
+        slope = a.T @ (y - p) - penalty @ w
+        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + penalty, slope)
+        while (new := loss_at(w + step)) > loss and np.abs(step).max() > 1e-12:
+            step = step / 2
+        if new > loss:
+            break
+        w, fallen, loss = w + step, loss - new, new
+        if np.abs(step).max() < 1e-9 or fallen <= 1e-12 * loss:
             break
     return w
 

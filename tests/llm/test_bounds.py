@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +121,20 @@ def test_near_copies_go_by_row_where_ids_repeat_or_are_missing(spark):
     unnamed = spark.createDataFrame([(None, t, str(i)) for i, t in enumerate(NEAR)], "doc_id long, text string, _id string")
     assert corpus_pipeline.ngram_jaccard_join(spark, unnamed, "").count() == 1
     assert corpus_pipeline.ngram_jaccard_join(spark, docs.limit(0), "").collect() == []
+
+
+def test_the_curve_is_found_where_the_evidence_nearly_separates():
+    """Whole Newton steps jump to and fro on such rows; the loss must be at its least all the same."""
+    for seed in range(12):
+        draw = np.random.default_rng(seed)
+        y = (draw.random(3000) < 0.1).astype(float)
+        best = np.where(y == 1, 30, np.clip(draw.gumbel(size=3000), -5, 30))
+        total = np.where(y == 1, draw.normal(5.5, 0.8, 3000), np.abs(draw.normal(0, 0.8, 3000)) * (draw.random(3000) < 0.3))
+        odd = draw.random(3000) < 0.002
+        best[odd], total[odd] = 30, 6
+        x = np.stack([best, total], axis=1)
+        w = toxicity._logistic(x, y)
+        p = 1 / (1 + np.exp(-(w[0] + x @ w[1:])))
+        assert ((p > 0.5) == (y == 1)).mean() > 0.99
+        slope = np.hstack([np.ones((3000, 1)), x]).T @ (y - p) - np.array([1e-6, 0.05, 0.05]) * w
+        assert np.abs(slope).max() < 1e-3
