@@ -8,19 +8,7 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-#: Rows of text that a Python task gets at once.
-BATCH_ROWS = 1000
-
-
-def bounded(df: DataFrame) -> DataFrame:
-    """Have the session send texts to Python in smaller batches than its default of 10,000 rows, so that two tasks of an
-    executor hold megabytes of them, not hundreds."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    conf = df.sparkSession.conf
-    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
-    return df
+from riskweave.session import bounded
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskweave.operators.answering import answer_questions
 from riskweave.operators.chunking import chunk_corpus
-from riskweave.operators.retrieval import TOP_K, top_k_sparse
+from riskweave.operators.retrieval import TOP_K, search_counts, store_counts
 from riskweave.operators.reteval import evaluation_report
 from riskweave.session import materialize
 from riskweave.sources.corpus import read_chunk_store
@@ -34,7 +34,12 @@ def evaluate(
     retrieve: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``metric, value`` over ``questions`` (query_id, question) and ``gold`` (query_id, source)."""
-    retrieve = retrieve or (lambda asked: top_k_sparse(asked, chunks, k=k))
+    if retrieve is None:
+        stored = store_counts(chunks)
+
+        def retrieve(asked: DataFrame) -> DataFrame:
+            return search_counts(asked, stored, k)
+
     hits = materialize(retrieve(questions.select("query_id", F.col("question").alias("query"))), "hits")
     answers = materialize(answer_questions(questions, chunks, k, retrieve=retrieve), "answers")
     report = materialize(evaluation_report(hits, gold, answers, chunks, k), "report")

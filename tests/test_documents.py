@@ -331,3 +331,38 @@ def test_report_and_stores(spark, tmp_path):
     assert report["recall@4"] >= report["recall@1"] >= 0.4 and 0 < report["mrr@4"] <= 1
     assert report["grounded_share"] == 1.0 and 0 < report["context_reduction_pct"] < 100
     assert spark.read.json(str(tmp_path / "retrieval_report")).count() == 5
+
+
+def test_blocks_of_queries_share_one_pass_of_tokens(spark, monkeypatch):
+    """Many blocks of queries, tiles of few rows, copies and rows without a token give what comparing all pairs gives."""
+    draw = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(draw.choice(words, draw.integers(0, 9))) for _ in range(300)] + ["w1 w2 w3"] * 60 + [None]
+    asked = [(i, " ".join(draw.choice(words, draw.integers(0, 6)))) for i in range(50)] + [(50, "w1 w2 w3"), (51, None)]
+    stored_names = []
+    kept = rt.materialize
+    monkeypatch.setattr(rt, "materialize", lambda df, name: stored_names.append(name) or kept(df, name))
+    monkeypatch.setattr(rt, "TILE_ROWS", 32)
+    monkeypatch.setattr(rt, "TILE_QUERIES", 8)
+    monkeypatch.setattr(rt, "FIRST_ROWS", 4)
+    corpus = spark.createDataFrame(list(enumerate(texts)), "corpus_order long, text string").withColumn("ordinal", F.lit(0))
+    queries = spark.createDataFrame(asked, "query_id long, query string")
+    hits = rt.top_k_sparse(queries, corpus, payload=["text"], k=3, block=10).collect()
+    assert stored_names.count("counts") == 1
+
+    def counts(text):
+        found = np.zeros(256)
+        for t in (text or "").split():
+            found[int(md5(t.encode()).hexdigest()[:2], 16)] += 1
+        return found
+
+    rows = np.stack([counts(t) for t in texts])
+    norms = (rows**2).sum(axis=1)
+    norms[norms == 0] = 1
+    expected = {}
+    for q, text in asked:
+        c = counts(text)
+        scores = np.round(rows @ c / np.sqrt(max((c**2).sum(), 1) * norms), 9)
+        for rank, i in enumerate(np.lexsort((np.arange(len(rows)), -scores))[:3], 1):
+            expected[q, rank] = (i, scores[i], texts[i])
+    assert {(h["query_id"], h["rank"]): (h["corpus_order"], h["score"], h["text"]) for h in hits} == expected
