@@ -270,14 +270,16 @@ def jaccard_join(df: DataFrame, terms: Terms = Terms(), key: str = "doc_id", tex
     classes = rows.filter(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_copies"))
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    # each band of a class that another class has too ties it to the least of them
+    # each band of a class that another class has too ties it to the least of them, its hub
     standing = classes.select(F.col("digest").alias("class_digest"), "node", "class_id")
     banded = sketched.join(standing, (F.col("digest") == F.col("class_digest")) & F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
         "node", F.explode("bands").alias("band"))
     banded = materialize(banded, "bands")
     hubs = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("other")).filter("hub < other")
-    ties = banded.join(hubs.select("band", "hub"), "band").filter("node <> hub").select(
-        F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    # a node and the hubs of its bands are tied to the least of them: most nodes of a large cluster then have one tie, not one a band
+    met = banded.join(hubs.select("band", "hub"), "band").groupBy("node").agg(F.collect_set("hub").alias("hubs"))  # one a band at most
+    tied = met.select(F.array_union("hubs", F.array("node")).alias("all")).select(F.explode("all").alias("a"), F.array_min("all").alias("b"))
+    ties = tied.filter("a <> b").distinct()
     clusters = components(ties)
     clusters = materialize(clusters, "clusters")
     sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("m"))

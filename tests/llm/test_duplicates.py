@@ -200,3 +200,20 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 130)] + [(7, 7)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(31)} | {k: 100 for k in range(100, 130)}
+
+
+def test_near_copies_have_few_ties(spark, monkeypatch):
+    """The ties of a cluster of near copies grow with its texts, not with texts times bands."""
+    draw = random.Random(3)
+    words = [f"w{draw.randrange(1000)}" for _ in range(300)]
+    rows = []
+    for i in range(80):
+        text = list(words)
+        text[draw.randrange(300)] = f"x{i}"
+        text[draw.randrange(300)] = f"y{i}"
+        rows.append((i, " ".join(text)))
+    ties, whole = [], jaccard.components
+    monkeypatch.setattr(jaccard, "components", lambda edges: ties.append(edges.distinct().count()) or whole(edges))
+    found = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["group_id"] for r in found} == {0} and {r["n_links"] for r in found} == {79}
+    assert ties[0] <= 3 * len(rows)
