@@ -366,3 +366,14 @@ def test_blocks_of_queries_share_one_pass_of_tokens(spark, monkeypatch):
         for rank, i in enumerate(np.lexsort((np.arange(len(rows)), -scores))[:3], 1):
             expected[q, rank] = (i, scores[i], texts[i])
     assert {(h["query_id"], h["rank"]): (h["corpus_order"], h["score"], h["text"]) for h in hits} == expected
+
+
+@pytest.mark.parametrize("step", [
+    lambda df: ck.chunk_corpus(df, "source", "text", "doc_id"), lambda df: rt.hash_embed(df, "doc_id", "text"),
+    lambda df: rt.top_k_lexical(df.select(F.col("doc_id").alias("query_id"), F.col("text").alias("query")), df, order=["doc_id"], payload=["source"]),
+])
+def test_texts_go_to_python_in_small_batches(spark, step):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "10000")
+    df = spark.createDataFrame([(1, "s", "one two. three")], "doc_id long, source string, text string")
+    assert step(df).count() and int(spark.conf.get(name)) <= 1000
