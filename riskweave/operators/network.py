@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +22,10 @@ from riskweave.session import materialize
 
 #: Rows of a stored piece, of a block that runs through the network at once, and of a partition of a small table.
 PIECE_ROWS, BLOCK_ROWS, ROWS_PER_TASK = 16_384, 8192, 10_000
+#: Tables with more rows are dealt out evenly over all cores, in tasks of so many rows at most.
+MANY_ROWS, TASK_ROWS = 500_000, 1_000_000
+#: So many tasks send their sums to the driver at once; of more they are added in a tree, which takes further stages.
+FEW_TASKS = 64
 #: Pairs of steps that L-BFGS remembers, and halvings of a step that does not descend.
 MEMORY, HALVINGS = 10, 25
 
@@ -155,6 +159,11 @@ def _packed(train: DataFrame, label: str, weight: str | None, features: list[str
     return materialize(rows.mapInArrow(pack, "x binary, y binary, w binary"), "standardized")
 
 
+def added(parts: RDD) -> tuple[float, np.ndarray]:
+    add = lambda a, b: (a[0] + b[0], a[1] + b[1])
+    return parts.reduce(add) if parts.getNumPartitions() <= FEW_TASKS else parts.treeReduce(add)
+
+
 def fit_network(train: DataFrame, label: str, features: list[str], hidden: tuple[int, ...] = (64, 32), positive_weight: float = 1.0,
                 weight: str | None = None, iterations: int = 100, tolerance: float = 1e-6, seed: int = 42) -> Network:
     """Fit on all rows; a row counts ``weight`` (a column, 1 without one), a positive ``positive_weight`` times that."""
@@ -174,11 +183,13 @@ def fit_network(train: DataFrame, label: str, features: list[str], hidden: tuple
     n = packed.agg(F.sum(F.octet_length("y")) / 8).first()[0]
     if not n:
         raise ValueError("no rows to learn from")
-    rows = packed.coalesce(max(1, -(-int(n) // ROWS_PER_TASK))).rdd.mapPartitions(gather).persist(StorageLevel.MEMORY_AND_DISK)
+    n, cores = int(n), train.sparkSession.sparkContext.defaultParallelism
+    dealt = packed.coalesce(max(1, -(-n // ROWS_PER_TASK))) if n <= MANY_ROWS else packed.repartition(cores * -(-n // (cores * TASK_ROWS)))
+    rows = dealt.rdd.mapPartitions(gather).persist(StorageLevel.MEMORY_AND_DISK)
     whole = rows.map(lambda r: float(r[2].sum())).sum()
 
     def value(flat: np.ndarray) -> tuple[float, np.ndarray]:
-        loss, gradient = rows.map(lambda r: loss_and_gradient(flat, sizes, *r)).treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1]))
+        loss, gradient = added(rows.map(lambda r: loss_and_gradient(flat, sizes, *r)))
         return loss / whole, gradient / whole
 
     try:

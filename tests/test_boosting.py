@@ -281,3 +281,14 @@ def test_a_large_table_is_dealt_out_over_all_cores(spark, monkeypatch):
     assert tasks == {spark.sparkContext.defaultParallelism}
     assert [t.feature for t in many.trees] == [t.feature for t in few.trees]
     assert np.allclose([v for t in many.trees for v in t.value], [v for t in few.trees for v in t.value])
+
+
+def test_a_large_table_of_the_network_is_dealt_out_too(spark, monkeypatch):
+    df, _, _ = made(spark, 600, parts=1)
+    few, tasks, added = nw.fit_network(df, "y", NAMES, (4,), iterations=5), set(), nw.added
+    monkeypatch.setattr(nw, "added", lambda parts: tasks.add(parts.getNumPartitions()) or added(parts))
+    monkeypatch.setattr(nw, "MANY_ROWS", 100)
+    monkeypatch.setattr(nw, "PIECE_ROWS", 20)
+    many = nw.fit_network(df, "y", NAMES, (4,), iterations=5)
+    assert tasks == {spark.sparkContext.defaultParallelism}
+    assert np.allclose(few.weights, many.weights, atol=1e-6)
