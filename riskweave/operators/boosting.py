@@ -1,6 +1,6 @@
 """Second-order gradient boosting on histograms.
 
-Features are quantised once and stored as one byte each. For every level of a tree the tasks sum gradients and Hessians per node,
+Features are quantised once and stored as one byte each; of a large table equal quantised rows become one with a count. For every level of a tree the tasks sum gradients and Hessians per node,
 feature and bin over the rows they hold, and only these sums travel; of two sibling nodes one is summed and the other is the
 difference to their parent. A level is one job, and leaf values follow from the sums of the last split. Rows and margins stay
 with their tasks; the lineage of the margins is cut by a checkpoint every few trees. Rows find their leaves by look-ups, a block of
@@ -183,10 +183,14 @@ class BoostedTrees:
 
 # --------------------------------------------------------------------------- rows in tasks
 class Rows:
-    """The rows of one partition: a byte per feature, label, whether held out, and the margin so far; positives have a weight."""
+    """The rows of one partition: a byte per feature, label, whether held out, and the margin so far; positives have a weight.
 
-    def __init__(self, codes: np.ndarray, label: np.ndarray, weight: float, held: np.ndarray, margin: np.ndarray, seed: int):
-        self.codes, self.label, self.weight, self.held, self.margin, self.seed = codes, label, weight, held, margin, seed
+    With ``times`` a row stands for so many equal ones.
+    """
+
+    def __init__(self, codes: np.ndarray, label: np.ndarray, weight: float, held: np.ndarray, margin: np.ndarray, seed: int,
+                 times: np.ndarray | None = None):
+        self.codes, self.label, self.weight, self.held, self.margin, self.seed, self.times = codes, label, weight, held, margin, seed, times
 
     def moved(self, trees: list[dict]) -> Rows:
         """After further trees."""
@@ -198,7 +202,7 @@ class Rows:
             codes, own = self.codes[:, at:at + LOOK_ROWS].astype(np.intp), margin[at:at + LOOK_ROWS]
             for bits, value in steps:
                 own += value.take(bits.leaves(codes))
-        return Rows(self.codes, self.label, self.weight, self.held, margin, self.seed)
+        return Rows(self.codes, self.label, self.weight, self.held, margin, self.seed, self.times)
 
     def nodes(self, tree: dict) -> np.ndarray:
         """The node of every row in a tree, finished or not."""
@@ -208,7 +212,8 @@ class Rows:
         return node
 
     def weights(self, rows: np.ndarray) -> np.ndarray:
-        return np.where(self.label[rows] == 1, self.weight, 1.0)
+        weight = np.where(self.label[rows] == 1, self.weight, 1.0)
+        return weight if self.times is None else weight * self.times[rows]
 
     def sums(self, tree: dict, wanted: list[int], number: int, share: float) -> np.ndarray:
         """Per wanted node, feature and bin: the sums of gradient and Hessian over the rows that the tree learns from."""
@@ -222,13 +227,19 @@ class Rows:
                 slot_of.take(bits.leaves(self.codes[:, i:min(i + LOOK_ROWS, part.stop)].astype(np.intp)))
                 for i in range(part.start, part.stop, LOOK_ROWS)])
             drawn = ~self.held[part] & (slot >= 0)
+            times = None if self.times is None else self.times[part]
             if share < 1:
-                drawn &= draw.random(len(slot)) < share
+                if times is None:
+                    drawn &= draw.random(len(slot)) < share
+                else:  # of equal rows each is drawn by itself
+                    times = draw.binomial(times, share)
+                    drawn &= times > 0
             rows = np.flatnonzero(drawn)
             base = slot[rows] * (BINS + 1)
+            own = 1 if times is None else times[rows]
             rows += at
             p = 1 / (1 + np.exp(-self.margin[rows]))
-            weight = self.weights(rows)
+            weight = np.where(self.label[rows] == 1, self.weight, 1.0) * own
             gradient, hessian = weight * (p - self.label[rows]), weight * p * (1 - p)
             for f, codes in enumerate(self.codes):
                 cell = base + codes[rows]
@@ -239,7 +250,8 @@ class Rows:
     def held_out(self) -> np.ndarray:
         """Counts of held-out rows per label and bin of the margin."""
         at = np.clip((self.margin[self.held] / MARGIN_RANGE + 1) * (MARGIN_BINS / 2), 0, MARGIN_BINS - 1).astype(int)
-        return np.bincount(self.label[self.held].astype(int) * MARGIN_BINS + at, minlength=2 * MARGIN_BINS).astype(float)
+        times = None if self.times is None else self.times[self.held]
+        return np.bincount(self.label[self.held].astype(int) * MARGIN_BINS + at, times, minlength=2 * MARGIN_BINS).astype(float)
 
 
 def _bits(tree: dict) -> LeafBits:
@@ -288,13 +300,50 @@ def _packed(train: DataFrame, label: str, features: list[str], edges: list[np.nd
     return materialize(rows.mapInArrow(pack, "n long, codes binary, label binary, held binary"), "quantised")
 
 
+def _grouped(packed: DataFrame, n_features: int) -> DataFrame:
+    """The different quantised rows, ``key, times``: codes, label and held-out mark as one value, and how often it occurs.
+
+    There are at most as many as combinations of bins, however many rows there are.
+    """
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p in batch.to_pylist():
+                codes = np.frombuffer(p["codes"], np.uint8).reshape(n_features, p["n"])
+                keys = np.concatenate([codes, np.frombuffer(p["label"], np.uint8)[None], np.frombuffer(p["held"], np.uint8)[None]]).T
+                different, times = np.unique(np.ascontiguousarray(keys).view(f"V{n_features + 2}").ravel(), return_counts=True)
+                ends = pa.array(np.arange(len(different) + 1, dtype="int32") * (n_features + 2)).buffers()[1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.Array.from_buffers(pa.binary(), len(different), [None, ends, pa.py_buffer(different.tobytes())]), pa.array(times, pa.int64())],
+                    names=["key", "times"])
+
+    pieces = packed.mapInArrow(split, "key binary, times long")
+    return materialize(pieces.groupBy("key").agg(F.sum("times").alias("times")), "different-rows")
+
+
+def _dealt(grouped: DataFrame, n_features: int, tasks: int) -> DataFrame:
+    """Pieces of the different rows in so many tasks, the same ones and in the same order every time."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PIECE_ROWS):
+                part = batch.slice(at, PIECE_ROWS)
+                keys = np.frombuffer(b"".join(part.column(0).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                made = [np.ascontiguousarray(keys[:, :n_features].T), keys[:, n_features], keys[:, n_features + 1], part.column(1).to_numpy().astype("<i8")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part.num_rows], pa.int64()), *[pa.array([c.tobytes()], pa.binary()) for c in made]],
+                    names=["n", "codes", "label", "held", "times"])
+
+    rows = grouped.repartition(tasks, "key").sortWithinPartitions("key")
+    return rows.mapInArrow(pack, "n long, codes binary, label binary, held binary, times binary")
+
+
 def _partition(n_features: int, weight: float, base: float, seed: int):
     def gather(index: int, pieces: Iterator) -> Iterator[Rows]:
         found = [(np.frombuffer(p["codes"], np.uint8).reshape(n_features, p["n"]), np.frombuffer(p["label"], np.uint8),
-                  np.frombuffer(p["held"], np.uint8).astype(bool)) for p in pieces]
+                  np.frombuffer(p["held"], np.uint8).astype(bool), np.frombuffer(p["times"], "<i8") if "times" in p else None) for p in pieces]
         if found:
             codes, label, held = np.concatenate([f[0] for f in found], axis=1), *[np.concatenate([f[i] for f in found]) for i in (1, 2)]
-            yield Rows(codes, label, weight, held, np.full(len(label), base), seed * 1_000_003 + index)
+            times = None if found[0][3] is None else np.concatenate([f[3] for f in found])
+            yield Rows(codes, label, weight, held, np.full(len(label), base), seed * 1_000_003 + index, times)
 
     return gather
 
@@ -381,8 +430,11 @@ def fit_trees(train: DataFrame, label: str, features: list[str], weight: float =
         raise ValueError("no rows to learn from")
     # a job per level: a small table needs few tasks, and those of a large one should end together
     cores = spark.sparkContext.defaultParallelism
-    table = (packed.coalesce(max(1, -(-n // ROWS_PER_TASK))) if n <= MANY_ROWS
-             else packed.repartition(cores * -(-n // (cores * TASK_ROWS)))).rdd
+    if n <= MANY_ROWS:
+        table = packed.coalesce(max(1, -(-n // ROWS_PER_TASK))).rdd
+    else:
+        grouped = _grouped(packed, len(features))
+        table = _dealt(grouped, len(features), cores * -(-grouped.count() // (cores * TASK_ROWS))).rdd
     base = 0.0
     rows = table.mapPartitionsWithIndex(_partition(len(features), weight, 0.0, seed))
     positive, all_ = _added(rows, lambda r: [np.array(v) for v in _weighed(r)])
@@ -444,7 +496,7 @@ def _covers(rows: Rows, trees: list[dict]) -> np.ndarray:
     """Training rows in each node of each tree, by one pass; a node has those of its children."""
     out = np.zeros((len(trees), max(len(t["feature"]) for t in trees)))
     for i, tree in enumerate(trees):
-        out[i] = np.bincount(rows.nodes(tree), minlength=out.shape[1])
+        out[i] = np.bincount(rows.nodes(tree), rows.times, minlength=out.shape[1])
         for node in range(len(tree["feature"]) - 1, -1, -1):  # children come after their parent
             if tree["feature"][node] >= 0:
                 out[i, node] = out[i, tree["left"][node]] + out[i, tree["right"][node]]

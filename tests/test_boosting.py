@@ -283,6 +283,29 @@ def test_a_large_table_is_dealt_out_over_all_cores(spark, monkeypatch):
     assert np.allclose([v for t in many.trees for v in t.value], [v for t in few.trees for v in t.value])
 
 
+def test_equal_rows_of_a_large_table_are_one_with_a_count(spark, monkeypatch):
+    """Rows in tasks follow the different quantised rows, not the rows; sums, base, held-out counts and covers are those of all rows."""
+    df, _, _ = made(spark, 300, parts=2)
+    twelve = df.crossJoin(spark.range(12).select(F.col("id").alias("copy"))).drop("copy")
+    growth = bo.Growth(rows=1.0, features=1.0, depth=3)
+    options = {"trees": 4, "growth": growth, "patience": 9, "held_out": 0.3}
+    few = bo.fit_trees(twelve, "y", NAMES, weight=2.5, **options)
+    monkeypatch.setattr(bo, "MANY_ROWS", 100)
+    grouped, parts = bo._grouped, []
+    monkeypatch.setattr(bo, "_grouped", lambda *a: parts.append(grouped(*a)) or parts[-1])
+    many = bo.fit_trees(twelve, "y", NAMES, weight=2.5, **options)
+    assert parts[0].count() <= 300 and parts[0].agg(F.sum("times")).first()[0] == 3600
+    assert many.base == pytest.approx(few.base) and [t.feature for t in many.trees] == [t.feature for t in few.trees]
+    assert [t.cover for t in many.trees] == [t.cover for t in few.trees]
+    assert np.allclose([v for t in many.trees for v in t.value], [v for t in few.trees for v in t.value])
+    # of equal rows each is drawn by itself
+    codes, label = np.zeros((1, 2), np.uint8), np.zeros(2, np.uint8)
+    rows = bo.Rows(codes, label, 1.0, np.zeros(2, bool), np.zeros(2), 7, np.array([40_000, 60_000]))
+    root = {"feature": [-1], "bin": [0], "missing_left": [True], "left": [0], "right": [0]}
+    assert rows.sums(root, [0], 3, 0.8)[1].sum() == pytest.approx(100_000 * 0.8 * 0.25, rel=0.02)
+    assert rows.sums(root, [0], 3, 0.8)[1].sum() == rows.sums(root, [0], 3, 0.8)[1].sum()
+
+
 def test_a_large_table_of_the_network_is_dealt_out_too(spark, monkeypatch):
     df, _, _ = made(spark, 600, parts=1)
     few, tasks, added = nw.fit_network(df, "y", NAMES, (4,), iterations=5), set(), nw.added
