@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,19 +54,40 @@ def _read(spark: SparkSession, store: str, kind: str, parts: dict[str, str], wan
 
 
 def _write(rows: DataFrame, store: str, kind: str, touched: list[int]) -> dict[str, str | None]:
-    """Store whole buckets anew; a bucket without rows is left out of the manifest (None)."""
+    """Store whole buckets anew; a bucket without rows is left out of the manifest (None). Rows come dealt out by bucket."""
     part = uuid.uuid4().hex[:12]
-    rows.repartition(max(1, len(touched)), "bucket").write.partitionBy("bucket").parquet(f"{store}/{kind}/part={part}")
+    rows.write.partitionBy("bucket").option("compression", "zstd").parquet(f"{store}/{kind}/part={part}")
     held = {r["bucket"] for r in rows.sparkSession.read.schema(rows.schema).parquet(f"{store}/{kind}/part={part}").select("bucket").distinct().collect()}
     return {str(b): part if b in held else None for b in touched}
 
 
+def _newer(arrived: DataFrame, known: DataFrame, tasks: int) -> DataFrame:
+    """The latest change of each source if it is newer than what is known, with the known digest; the text only where it differs.
+
+    Changes and known sources meet in one grouping by bucket and source, so a text is shuffled and stored once.
+    """
+    none = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    both = arrived.select("bucket", "source", F.struct("number", "text").alias("c"), none("_number", "long"), none("_digest", "string")).unionByName(
+        known.select("bucket", "source", none("c", "struct<number:bigint,text:string>"), F.col("number").alias("_number"), F.col("digest").alias("_digest")))
+    latest = both.repartition(tasks, "bucket").groupBy("bucket", "source").agg(
+        F.max("c").alias("c"), F.max("_number").alias("_number"), F.max("_digest").alias("_digest"))
+    newer = latest.where("c is not null and (_number is null or c.number > _number)").select(
+        "source", "c.number", "c.text", F.sha2("c.text", 256).alias("digest"), "bucket", "_number", "_digest")
+    return materialize(newer.withColumn("text", F.when(~F.col("digest").eqNullSafe(F.col("_digest")), F.col("text"))), "newer-changes")
+
+
+def _others(chunks: DataFrame, altered: DataFrame, tasks: int) -> DataFrame:
+    """The chunks of sources that aren't altered, dealt out by bucket; a chunk is shuffled once."""
+    none = [F.lit(None).cast(t).alias(c) for c, t in chunks.dtypes if c not in ("bucket", "source", "part")]
+    marks = altered.select("bucket", "source", *none, F.lit(1).alias("_altered"))
+    both = chunks.drop("part").withColumn("_altered", F.lit(0)).unionByName(marks).repartition(tasks, "bucket")
+    return both.withColumn("_altered", F.max("_altered").over(Window.partitionBy("bucket", "source"))).where("_altered = 0").drop("_altered")
+
+
 def apply_changes(batch: DataFrame, number: int, store: str, stream: str = "corpus", buckets: int = BUCKETS, crawl: bool = False) -> int:
     """Bring the store up to date with one batch; returns the manifest's version. Changes without a source are passed over."""
     spark = batch.sparkSession
-    latest = batch.where("source is not null").groupBy("source").agg(
-        F.max(F.struct("number", "text")).alias("c")).select("source", "c.number", "c.text")
-    latest = materialize(latest.withColumns({"digest": F.sha2("text", 256), "bucket": _bucket(buckets)}), "changes")
+    arrived = batch.where("source is not null").withColumn("bucket", _bucket(buckets))
 
     def change(version: int, manifest: dict | None) -> dict:
         manifest = manifest or {"buckets": buckets, "sources": {}, "chunks": {}, "batches": {}}
@@ -74,24 +95,25 @@ def apply_changes(batch: DataFrame, number: int, store: str, stream: str = "corp
             raise ValueError(f"the store has {manifest['buckets']} buckets")
         if manifest["batches"].get(stream, -1) >= number:
             return manifest
-        asked = [r[0] for r in latest.select("bucket").distinct().collect()]  # at most the buckets
+        asked = [r[0] for r in arrived.select("bucket").distinct().collect()]  # at most the buckets
         known = _read(spark, store, "sources", manifest["sources"], asked)
-        before = known.select("source", F.col("number").alias("_number"), F.col("digest").alias("_digest"))
-        newer = materialize(latest.join(before, "source", "left").where("_number is null or number > _number"), "newer-changes")
+        newer = _newer(arrived, known, max(1, len(asked)))
         numbered = [r[0] for r in newer.select("bucket").distinct().collect()]
         sources, chunks = dict(manifest["sources"]), dict(manifest["chunks"])
         if numbered:
             # a deleted source keeps its number, so that an older change that comes late doesn't bring it back
             kept = known.where(F.col("bucket").isin(numbered)).join(newer.select("source"), "source", "left_anti")
             names = ["source", "number", "digest", "bucket"]
-            sources |= _write(materialize(kept.select(names).unionByName(newer.select(names)), "sources"), store, "sources", numbered)
+            rows = kept.select(names).unionByName(newer.select(names))
+            sources |= _write(rows.repartition(len(numbered), "bucket"), store, "sources", numbered)
         altered = newer.where(~F.col("digest").eqNullSafe(F.col("_digest")))
         touched = [r[0] for r in altered.select("bucket").distinct().collect()]
         if touched:
-            old = _read(spark, store, "chunks", manifest["chunks"], touched).join(altered.select("source"), "source", "left_anti")
-            cut = chunk_corpus(altered.where("text is not null"), crawl=crawl).withColumn("bucket", _bucket(buckets))
             names = ["id", "source", "ordinal", "text", "bucket"]
-            chunks |= _write(materialize(old.select(names).unionByName(cut.select(names)), "chunks"), store, "chunks", touched)
+            # both sides lie by bucket, so the texts move once
+            old = _others(_read(spark, store, "chunks", manifest["chunks"], touched), altered, len(touched))
+            cut = chunk_corpus(altered.where("text is not null"), crawl=crawl).withColumn("bucket", _bucket(buckets))
+            chunks |= _write(old.select(names).unionByName(cut.select(names)), store, "chunks", touched)
         return {"buckets": buckets, "sources": {b: p for b, p in sources.items() if p}, "chunks": {b: p for b, p in chunks.items() if p},
                 "batches": manifest["batches"] | {stream: number}}
 

@@ -56,6 +56,23 @@ def test_a_batch_that_is_run_again_changes_nothing_and_old_versions_stay(spark):
     assert after["chunks"] == before["chunks"] and after["sources"] != before["sources"]
 
 
+def test_a_text_is_shuffled_and_stored_once(spark, monkeypatch):
+    """Changes meet the known sources in one exchange by bucket, old chunks the altered ones in another; texts that stay as they were end there."""
+    store, stored, materialize = work_folder(spark, "chunk-store"), [], ig.materialize
+    monkeypatch.setattr(ig, "materialize", lambda df, name: stored.append((name, df._jdf.queryExecution().executedPlan().toString())) or materialize(df, name))
+    ig.apply_changes(changes(spark, ("a", 1, "First."), ("b", 1, "Other."), ("c", 1, "Goes.")), 0, store, buckets=3)
+    ig.apply_changes(changes(spark, ("a", 2, "Second."), ("b", 2, "Other."), ("c", 2, None), ("d", None, "No number.")), 1, store, buckets=3)
+    assert [name for name, _ in stored] == ["newer-changes"] * 2
+    assert all(plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1 for _, plan in stored)
+    assert sorted((r["source"], r["text"]) for r in ig.read_store(spark, store).collect()) == [("a", "Second."), ("b", "Other."), ("d", "No number.")]
+    known = spark.createDataFrame([("b", 1, "x", 0)], "source string, number long, digest string, bucket int")
+    arrived = changes(spark, ("b", 2, "Other."), ("b", 2, "Other."), ("e", 3, "low"), ("e", 3, "same number"), ("e", 2, "z")).withColumn("bucket", F.lit(0))
+    got = {r["source"]: r for r in ig._newer(arrived, known, 2).collect()}
+    assert got["b"]["text"] == "Other." and (got["e"]["number"], got["e"]["text"]) == (3, "same number") and len(got) == 2
+    same = known.withColumn("digest", F.lit(got["b"]["digest"]))
+    assert {r["source"]: r["text"] for r in ig._newer(arrived, same, 2).collect()} == {"b": None, "e": "same number"}
+
+
 def test_two_streams_at_once_lose_nothing(spark):
     store = work_folder(spark, "store")
     rows = {name: [(f"{name}{i}", 1, f"Text {name} {i}.") for i in range(6)] for name in "xy"}
