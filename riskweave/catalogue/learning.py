@@ -105,7 +105,7 @@ def m6_benchmark(spark, sf):
     fitted = md.fit_all({
         "gbm": lambda: _gbt(train),
         "mlp": lambda: md.fit_mlp(train, "is_fraud", TRANSACTION_FEATURES),
-    })
+    }, needed=True)
     return rounded(md.benchmark(fitted, test, "is_fraud"), *md.RESULT_COLUMNS)
 
 

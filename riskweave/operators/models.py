@@ -7,8 +7,6 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,13 +56,18 @@ def positive_proba(model: Model, df: DataFrame, name: str = "probability") -> Da
 
 
 # --------------------------------------------------------------------------- comparison
-def fit_all(trainers: dict[str, Callable[[], Model]]) -> dict[str, Model]:
-    """Fit each trainer; one that is not available or fails is left out, with a warning."""
+def fit_all(trainers: dict[str, Callable[[], Model]], needed: bool = False) -> dict[str, Model]:
+    """Fit each trainer; a fit that fails ends the comparison with its error.
+
+    One whose library is absent is left out, with a warning, unless all are ``needed``.
+    """
     fitted = {}
     for name, trainer in trainers.items():
         try:
             fitted[name] = trainer()
-        except (ImportError, PySparkException, Py4JJavaError) as problem:
+        except ImportError as problem:
+            if needed:
+                raise
             log.warning("model %s skipped: %s", name, problem)
     return fitted
 

@@ -33,7 +33,7 @@ def run_fraud(
     models = fit_all({
         "gbm": lambda: fit_gbt(train, label, features, weighted=True, trees=trees, seed=seed),
         "mlp": lambda: fit_mlp(train, label, features, hidden, weighted=True, iterations=iterations, seed=seed),
-    })
+    }, needed=True)
     results = materialize(benchmark(models, test, label), "fraud-results").orderBy(F.desc_nulls_last("auprc"), "model")
     write_report(results, f"{out}/benchmark")
     champion = promote(results, models, out)

@@ -72,6 +72,20 @@ def test_benchmark_is_sorted_and_skips_what_cannot_be_fitted(fitted):
     assert lift["lift"] == pytest.approx(lift["candidate"] - lift["baseline"])
 
 
+def test_a_failed_fit_is_no_comparison(spark, fitted):
+    def broken():
+        return spark.range(3).select(F.raise_error(F.lit("lost")).alias("x")).collect()
+
+    def absent():
+        raise ImportError("no such library")
+
+    good = {"gbm": lambda: fitted[0]["gbm"]}
+    with pytest.raises(Exception, match="lost"):
+        md.fit_all(good | {"mlp": broken})
+    with pytest.raises(ImportError):
+        md.fit_all(good | {"mlp": absent}, needed=True)
+
+
 def test_whichever_model_wins_is_promoted(spark, fitted, tmp_path):
     models, _, test = fitted
     for best in ("gbm", "mlp"):
