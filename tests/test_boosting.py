@@ -232,7 +232,7 @@ def test_minimum_of_a_bowl():
     assert np.allclose(found, 2, atol=1e-5)
 
 
-def random_tree(draw, nodes):
+def grown_tree(draw, nodes):
     """A tree grown at random leaves, with thresholds at halves and some at infinity."""
     t = {k: [] for k in ("feature", "threshold", "missing_left", "left", "right", "value", "cover")}
 
@@ -258,7 +258,7 @@ def test_leaves_by_look_up_are_those_of_a_walk(monkeypatch):
     x[draw.random(x.shape) < 0.05] = math.inf
     x[draw.random(x.shape) < 0.05] = -math.inf
     for nodes in (1, 3, 15, 63, 65, 199):  # more than 32 leaves need more than one word
-        trees = [random_tree(draw, nodes) for _ in range(4)]
+        trees = [grown_tree(draw, nodes) for _ in range(4)]
         cuts, found = bo.BoostedTrees(NAMES, 0.25, trees)._look_up
         codes = np.stack([np.where(np.isnan(c), max(map(len, cuts)) + 1, np.searchsorted(e, c)) for c, e in zip(x, cuts)])
         walked = [tree.leaves(list(x)) for tree in trees]
